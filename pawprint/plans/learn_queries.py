@@ -1 +1,410 @@
 """Registered queries for splitting, encoding, neighbours, models and metrics."""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from pawprint.functions import text as tx
+from pawprint.operators import metrics
+from pawprint.operators.encode import FeatureEncoder
+from pawprint.operators.models import KNNClassifier
+from pawprint.operators.neighbours import knn_edges
+from pawprint.operators.sample import stratified_folds, stratified_split
+from pawprint.operators.smote import oversample, smote_samples
+from pawprint.plans import oracle as O
+from pawprint.plans.chain import ChainModel, fit_chain, fit_prep, with_p_true
+from pawprint.plans.queries import engineered, query, r6, records
+from pawprint.plans.search import (drop_rows_missing_critical, evaluate_models, prepare_split,
+                                   results_table, run_tournament, train_all)
+from pawprint.session import scratch_path
+from pawprint.sources import io
+from pawprint.sources.schema import CRITICAL_COLS, KEY, TARGET
+
+SEED = 42
+SMOTE_K = 5
+KNN_K = 5
+# One candidate per family and two folds, as the reference's own tests use.
+MINIMAL_GRIDS = {
+    "knn": {"categorical_eng__max_other_ratio": [0.15], "smote__k_neighbors": [2],
+            "clf__n_neighbors": [3]},
+    "logistic_regression": {"categorical_eng__max_other_ratio": [0.15],
+                            "smote__k_neighbors": [2], "clf__C": [1.0]},
+    "random_forest": {"categorical_eng__max_other_ratio": [0.15], "smote__k_neighbors": [2],
+                      "clf__n_estimators": [10]},
+}
+
+
+def _labelled(spark, sf_dir) -> DataFrame:
+    return records(spark, sf_dir).select(KEY, F.col("OutcomeType").alias(TARGET))
+
+
+def _complete(spark, sf_dir) -> DataFrame:
+    """Records without nulls in the critical columns (what the models train on)."""
+    r = records(spark, sf_dir).na.drop(how="any", subset=list(CRITICAL_COLS))
+    return r.withColumnRenamed("OutcomeType", TARGET).drop("OutcomeSubtype")
+
+
+# --------------------------------------------------------------- splitting
+
+_SPLIT_BASE = (
+    "X AS (SELECT rid, OutcomeType AS target, md5('42:' || CAST(rid AS VARCHAR)) AS h FROM R),\n"
+    "CS AS (SELECT target, count(*) AS n_class FROM X GROUP BY 1)")
+
+_SPLIT_SQL = O.with_records("""
+SELECT X.rid, X.target,
+  CASE WHEN row_number() OVER (PARTITION BY X.target ORDER BY h, rid) <= Q3.quota
+       THEN 'test' ELSE 'train' END AS split
+FROM X JOIN Q3 ON Q3.target = X.target""", _SPLIT_BASE + """,
+T AS (SELECT CAST(ceil(CAST(0.2 AS DOUBLE) * sum(n_class)) AS BIGINT) AS n_test,
+             sum(n_class) AS n FROM CS),
+Q AS (SELECT CS.target, CAST(T.n_test * CS.n_class AS DOUBLE) / T.n AS ex FROM CS, T),
+Q2 AS (SELECT target, floor(ex) AS base, ex - floor(ex) AS rem FROM Q),
+Q3 AS (SELECT target, base + CASE WHEN row_number() OVER (ORDER BY rem DESC, target)
+                              <= (SELECT n_test FROM T) - sum(base) OVER () THEN 1 ELSE 0 END
+              AS quota FROM Q2)""")
+
+
+@query("stratified_split", _SPLIT_SQL)
+def stratified_split_q(spark, sf_dir):
+    return stratified_split(_labelled(spark, sf_dir), 0.2, SEED).select(KEY, TARGET, "split")
+
+
+@query("stratified_folds", O.with_records("""
+SELECT X.rid, X.target,
+  CAST((O.off + row_number() OVER (PARTITION BY X.target ORDER BY h, rid) - 1) % 5 AS INTEGER)
+    AS fold
+FROM X JOIN O ON O.target = X.target""", _SPLIT_BASE + """,
+O AS (SELECT target, coalesce(sum(n_class) OVER (ORDER BY target
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM CS)"""))
+def stratified_folds_q(spark, sf_dir):
+    return stratified_folds(_labelled(spark, sf_dir), 5, SEED).select(KEY, TARGET, "fold")
+
+
+# ---------------------------------------------------------------- encoding
+
+@query("onehot_long", O.with_records(" UNION ALL ".join(
+    f"SELECT rid, '{c}' AS \"column\", {c} AS category, "
+    f"CAST(dense_rank() OVER (ORDER BY {c}) - 1 AS BIGINT) AS slot FROM E"
+    for c in ("Breed", "Color", "Reproductive_Status")), O.engineered_cte()))
+def onehot_long(spark, sf_dir):
+    e = engineered(spark, sf_dir)
+    return FeatureEncoder().fit(e).onehot_long(e, KEY)
+
+
+_NUM = ("Hour_sin", "Hour_cos", "Wday_sin", "Wday_cos", "DoY_sin", "DoY_cos", "log_age_in_days")
+
+
+def _scaled_sql(c: str) -> str:
+    return (f"({c} - min({c}) OVER ()) / "
+            f"coalesce(nullif(max({c}) OVER () - min({c}) OVER (), 0), 1)")
+
+
+@query("minmax_scaled", O.with_records(
+    "SELECT rid, " + ", ".join(f"{O.r6(_scaled_sql(c))} AS {c}" for c in _NUM) + " FROM E",
+    O.engineered_cte()))
+def minmax_scaled(spark, sf_dir):
+    e = engineered(spark, sf_dir)
+    scaled = FeatureEncoder().fit(e).scaled(e)
+    return scaled.select(KEY, *[r6(c).alias(c) for c in _NUM])
+
+
+_D_CTE = "D AS (SELECT * FROM R WHERE DateTime IS NOT NULL AND AnimalType IS NOT NULL)"
+
+
+def _slot_sums_sql() -> str:
+    cats = ("Breed", "Color", "Reproductive_Status")
+    labels = " UNION ALL ".join(f"SELECT DISTINCT '{c}' AS \"column\", {c} AS category FROM E"
+                                for c in cats)
+    long = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", {c} AS category FROM E" for c in cats)
+    offs = ("OFF AS (SELECT \"column\", coalesce(sum(k) OVER (ORDER BY CASE \"column\" "
+            "WHEN 'Breed' THEN 0 WHEN 'Color' THEN 1 ELSE 2 END "
+            "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM N)")
+    num = " UNION ALL ".join(
+        f"SELECT (SELECT sum(k) FROM N) + {i} AS slot, sum(s) AS total FROM "
+        f"(SELECT {_scaled_sql(c)} AS s FROM E)"
+        for i, c in enumerate(_NUM))
+    bins = " UNION ALL ".join(
+        f"SELECT (SELECT sum(k) FROM N) + {len(_NUM) + j} AS slot, "
+        f"sum(CAST({c} AS DOUBLE)) AS total FROM E"
+        for j, c in enumerate(("IsWeekend", "is_mix", "has_name")))
+    ctes = (f"{_D_CTE},\n{O.engineered_cte('D')},\n"
+            f"L AS (SELECT \"column\", category, dense_rank() OVER (PARTITION BY \"column\" "
+            f"ORDER BY category) - 1 AS idx FROM ({labels})),\n"
+            f"N AS (SELECT \"column\", count(*) AS k FROM L GROUP BY 1),\n{offs},\n"
+            f"OH AS (SELECT L.idx + OFF.off AS slot, CAST(count(*) AS DOUBLE) AS total "
+            f"FROM ({long}) V JOIN L ON L.\"column\" = V.\"column\" AND L.category = V.category "
+            f"JOIN OFF ON OFF.\"column\" = V.\"column\" GROUP BY 1)")
+    body = (f"SELECT CAST(slot AS BIGINT) AS slot, {O.r6('total')} AS total FROM "
+            f"(SELECT * FROM OH UNION ALL {num} UNION ALL {bins})")
+    return O.with_records(body, ctes)
+
+
+@query("feature_vector_stats", _slot_sums_sql())
+def feature_vector_stats(spark, sf_dir):
+    """Sum of every slot of the assembled feature vector (prep fitted on the
+    rows with complete critical columns)."""
+    r = records(spark, sf_dir).na.drop(how="any", subset=list(CRITICAL_COLS))
+    prep = fit_prep(r, 0.15)
+    enc = prep.transform(r)
+    slots = enc.select(F.posexplode(vector_to_array("features")).alias("slot", "v"))
+    return slots.groupBy(F.col("slot").cast("bigint").alias("slot")).agg(r6(F.sum("v")).alias("total"))
+
+
+# -------------------------------------------------------------- neighbours
+
+_U = ("U AS (SELECT vec_id, label, unnest(embedding) AS x, "
+      "unnest(range(1, len(embedding) + 1)) AS d FROM embeddings)")
+_PAIRS = ("PP AS (SELECT a.vec_id AS q, b.vec_id AS n, a.label, "
+          "sqrt(sum((CAST(a.x AS DOUBLE) - CAST(b.x AS DOUBLE)) ^ 2)) AS dist "
+          "FROM U a JOIN U b ON a.label = b.label AND a.d = b.d AND a.vec_id <> b.vec_id "
+          "GROUP BY 1, 2, 3),\n"
+          "E5 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY dist, n) "
+          "AS rn FROM PP) WHERE rn <= 5)")
+
+
+@query("smote_neighbours", f"""WITH {_U},
+{_PAIRS}
+SELECT label, q AS vec_id, CAST(rn AS BIGINT) AS rank, n AS neighbour_id,
+       round(dist, 6) AS distance FROM E5""")
+def smote_neighbours(spark, sf_dir):
+    emb = io.read_table(spark, sf_dir, "embeddings")
+    e = knn_edges(emb, emb, SMOTE_K, query_id="vec_id", train_id="vec_id", query_vec="embedding",
+                  train_vec="embedding", query_group="label", train_group="label",
+                  exclude_self=True)
+    return e.select(F.col("g").alias("label"), F.col("qid").alias("vec_id"),
+                    F.col("rank").cast("bigint").alias("rank"), F.col("nid").alias("neighbour_id"),
+                    r6("distance").alias("distance"))
+
+
+def _u(tag: str) -> str:
+    return (f"CAST(('0x' || substr(md5(concat_ws(':', '42', CAST(label AS VARCHAR), "
+            f"CAST(i AS VARCHAR), '{tag}')), 1, 8))::BIGINT AS DOUBLE) / 4294967296.0")
+
+
+@query("smote_rows", f"""WITH {_U},
+{_PAIRS},
+C AS (SELECT label, count(*) AS n FROM embeddings GROUP BY 1),
+NEED AS (SELECT label, n, max(n) OVER () - n AS need FROM C),
+IDX AS (SELECT label, n, unnest(range(1, need + 1)) AS i FROM NEED WHERE need > 0),
+H AS (SELECT label, i, n, {_u('base')} AS ub, {_u('nn')} AS un, {_u('gap')} AS ug FROM IDX),
+RK AS (SELECT label, vec_id, row_number() OVER (PARTITION BY label
+         ORDER BY md5('42:' || CAST(vec_id AS VARCHAR)), vec_id) AS rn FROM embeddings),
+S AS (SELECT H.label, H.i, RK.vec_id AS base_id, CAST(floor(un * 5) + 1 AS BIGINT) AS nr,
+             ug AS gap
+      FROM H JOIN RK ON RK.label = H.label AND RK.rn = CAST(floor(ub * H.n) + 1 AS BIGINT)),
+S2 AS (SELECT S.*, E5.n AS neighbour_id FROM S JOIN E5 ON E5.q = S.base_id AND E5.rn = S.nr)
+SELECT S2.label, CAST(S2.i AS BIGINT) AS i, S2.base_id, S2.neighbour_id,
+  round(S2.gap, 6) AS gap,
+  round(sum(CAST(a.x AS DOUBLE) + S2.gap * (CAST(b.x AS DOUBLE) - CAST(a.x AS DOUBLE))), 6)
+    AS v_sum
+FROM S2 JOIN U a ON a.vec_id = S2.base_id JOIN U b ON b.vec_id = S2.neighbour_id AND b.d = a.d
+GROUP BY S2.label, S2.i, S2.base_id, S2.neighbour_id, S2.gap""")
+def smote_rows(spark, sf_dir):
+    emb = io.read_table(spark, sf_dir, "embeddings")
+    s = smote_samples(emb, "label", "vec_id", "embedding", SMOTE_K, SEED)
+    total = F.aggregate("vec", F.lit(0.0), lambda acc, x: acc + x)
+    return s.select("label", F.col("i").cast("bigint").alias("i"), "base_id", "neighbour_id",
+                    r6("gap").alias("gap"), r6(total).alias("v_sum"))
+
+
+@query("smote_class_counts", O.with_records("""
+SELECT target, M.m AS n, M.m - count(*) AS n_synthetic
+FROM (SELECT OutcomeType AS target FROM D) CROSS JOIN
+     (SELECT max(c) AS m FROM (SELECT count(*) AS c FROM D GROUP BY OutcomeType)) M
+GROUP BY target, M.m""", _D_CTE))
+def smote_class_counts(spark, sf_dir):
+    d = _complete(spark, sf_dir)
+    enc = fit_prep(d, 0.15).transform(d)
+    bal = oversample(enc.select(KEY, TARGET, "features"), TARGET, KEY, "features", SMOTE_K, SEED)
+    return bal.groupBy(TARGET).agg(F.count(F.lit(1)).alias("n"),
+                                   F.count_if("synthetic").cast("bigint").alias("n_synthetic"))
+
+
+_EMB_SPLIT = (
+    "XE AS (SELECT vec_id, label, md5('42:' || CAST(vec_id AS VARCHAR)) AS h FROM embeddings),\n"
+    "CE AS (SELECT label, count(*) AS n_class FROM XE GROUP BY 1),\n"
+    "TE AS (SELECT CAST(ceil(CAST(0.2 AS DOUBLE) * sum(n_class)) AS BIGINT) AS n_test, "
+    "sum(n_class) AS n FROM CE),\n"
+    "QE AS (SELECT label, floor(CAST(TE.n_test * n_class AS DOUBLE) / TE.n) AS base, "
+    "CAST(TE.n_test * n_class AS DOUBLE) / TE.n - floor(CAST(TE.n_test * n_class AS DOUBLE) / TE.n)"
+    " AS rem FROM CE, TE),\n"
+    "QE3 AS (SELECT label, base + CASE WHEN row_number() OVER (ORDER BY rem DESC, label) <= "
+    "(SELECT n_test FROM TE) - sum(base) OVER () THEN 1 ELSE 0 END AS quota FROM QE),\n"
+    "SPL AS (SELECT XE.vec_id, XE.label, CASE WHEN row_number() OVER (PARTITION BY XE.label "
+    "ORDER BY h, vec_id) <= QE3.quota THEN 'test' ELSE 'train' END AS split "
+    "FROM XE JOIN QE3 ON QE3.label = XE.label)")
+
+
+@query("knn_predict_embeddings", f"""WITH {_EMB_SPLIT},
+{_U.replace('U AS', 'UU AS')},
+DIST AS (SELECT a.vec_id AS q, b.vec_id AS n, bl.label AS nlabel,
+           sqrt(sum((CAST(a.x AS DOUBLE) - CAST(b.x AS DOUBLE)) ^ 2)) AS dist
+         FROM UU a JOIN SPL sa ON sa.vec_id = a.vec_id AND sa.split = 'test'
+         JOIN UU b ON b.d = a.d JOIN SPL bl ON bl.vec_id = b.vec_id AND bl.split = 'train'
+         GROUP BY 1, 2, 3),
+TOP AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY dist, n) AS rn
+        FROM DIST) WHERE rn <= 5),
+VOTES AS (SELECT q, CAST(nlabel AS VARCHAR) AS lab, count(*) AS v FROM TOP GROUP BY 1, 2)
+SELECT q AS vec_id, lab AS prediction, round(CAST(v AS DOUBLE) / 5, 6) AS p_pred FROM (
+  SELECT *, row_number() OVER (PARTITION BY q ORDER BY v DESC, lab) AS r FROM VOTES) WHERE r = 1""")
+def knn_predict_embeddings(spark, sf_dir):
+    emb = io.read_table(spark, sf_dir, "embeddings")
+    split = stratified_split(emb, 0.2, SEED, label="label", key="vec_id")
+    train = split.filter(F.col("split") == "train")
+    test = split.filter(F.col("split") == "test").select("vec_id", "embedding")
+    model = KNNClassifier(KNN_K, "uniform").fit(train, "embedding", "label", "vec_id")
+    pred = model.predict(test)
+    return pred.select("vec_id", "prediction",
+                       r6(F.element_at("proba", F.col("prediction"))).alias("p_pred"))
+
+
+# ----------------------------------------------------------------- metrics
+
+_RULE_PRED = (f"CASE {O.repro('SexuponOutcome')} WHEN 'Neutered/Spayed' THEN 'Adoption' "
+              f"WHEN 'Intact' THEN 'Transfer' ELSE 'Euthanasia' END")
+_PRED_CTE = f"PR AS (SELECT OutcomeType AS label, {_RULE_PRED} AS prediction FROM R)"
+_PER_CLASS_TAIL = """
+CF AS (SELECT label, prediction, count(*) AS n FROM PR GROUP BY 1, 2),
+LB AS (SELECT label FROM CF UNION SELECT prediction FROM CF),
+PC AS (SELECT LB.label,
+  coalesce((SELECT sum(n) FROM CF WHERE CF.label = LB.label), 0) AS support,
+  coalesce((SELECT sum(n) FROM CF WHERE CF.prediction = LB.label), 0) AS predicted,
+  coalesce((SELECT sum(n) FROM CF WHERE CF.label = LB.label AND CF.prediction = LB.label), 0) AS tp
+  FROM LB),
+PRR AS (SELECT *, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS precision,
+               CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall FROM PC),
+F1 AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall)
+               ELSE 0.0 END AS f1 FROM PRR)"""
+_PER_CLASS = _PRED_CTE + "," + _PER_CLASS_TAIL
+
+
+def _rule_predictions(spark, sf_dir) -> DataFrame:
+    r = records(spark, sf_dir)
+    status = tx.reproductive_status("SexuponOutcome")
+    pred = (F.when(status == "Neutered/Spayed", F.lit("Adoption"))
+            .when(status == "Intact", F.lit("Transfer")).otherwise(F.lit("Euthanasia")))
+    return r.select(F.col("OutcomeType").alias(TARGET), pred.alias("prediction"))
+
+
+@query("confusion", O.with_records("SELECT label, prediction, count(*) AS n FROM PR GROUP BY 1, 2",
+                                   _PRED_CTE))
+def confusion_q(spark, sf_dir):
+    return metrics.confusion(_rule_predictions(spark, sf_dir))
+
+
+@query("classification_report", O.with_records("""
+SELECT label AS "row", round(precision, 6) AS precision, round(recall, 6) AS recall,
+       round(f1, 6) AS f1, CAST(support AS BIGINT) AS support FROM F1
+UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6),
+       CAST(sum(support) AS BIGINT) FROM F1
+UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6),
+       round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6),
+       CAST(sum(support) AS BIGINT) FROM F1
+UNION ALL SELECT 'accuracy', NULL, NULL, round(CAST(sum(tp) AS DOUBLE) / sum(support), 6),
+       CAST(sum(support) AS BIGINT) FROM F1""", _PER_CLASS))
+def classification_report_q(spark, sf_dir):
+    rep = metrics.classification_report(metrics.confusion(_rule_predictions(spark, sf_dir)))
+    return rep.select("row", *[r6(c).alias(c) for c in ("precision", "recall", "f1")], "support")
+
+
+_SUMMARY_SQL = """
+SELECT round(CAST(sum(tp) AS DOUBLE) / sum(support), 6) AS accuracy,
+       round(avg(f1), 6) AS f1_macro,
+       round(sum(f1 * support) / sum(support), 6) AS f1_weighted,
+       round(avg(CASE WHEN support > 0 THEN recall END), 6) AS balanced_accuracy,
+       CAST(sum(support) AS BIGINT) AS n FROM F1"""
+
+
+def _rounded_summary(df: DataFrame) -> DataFrame:
+    s = metrics.summary(metrics.confusion(df))
+    return s.select(*[r6(c).alias(c) for c in ("accuracy", "f1_macro", "f1_weighted",
+                                               "balanced_accuracy")], "n")
+
+
+@query("metric_summary", O.with_records(_SUMMARY_SQL, _PER_CLASS))
+def metric_summary(spark, sf_dir):
+    return _rounded_summary(_rule_predictions(spark, sf_dir))
+
+
+@query("binary_metrics_labels", "WITH PR AS (SELECT CAST(quality AS VARCHAR) AS label, "
+       "CAST(1 - toxic AS VARCHAR) AS prediction FROM labels),"
+       + _PER_CLASS_TAIL + _SUMMARY_SQL)
+def binary_metrics_labels(spark, sf_dir):
+    lab = io.read_table(spark, sf_dir, "labels")
+    return _rounded_summary(lab.select(F.col("quality").cast("string").alias(TARGET),
+                                       (1 - F.col("toxic")).cast("string").alias("prediction")))
+
+
+_P_TRUE = ("CASE WHEN prediction = label THEN 0.7 WHEN label = 'Adoption' THEN 0.1 "
+           "ELSE 0.2 END")
+
+
+@query("log_loss", O.with_records(
+    f"SELECT round(avg(-ln(greatest(least(CAST({_P_TRUE} AS DOUBLE), 1 - {metrics.EPS!r}), "
+    f"{metrics.EPS!r}))), 6) AS log_loss, count(*) AS n FROM PR", _PRED_CTE))
+def log_loss_q(spark, sf_dir):
+    p = _rule_predictions(spark, sf_dir)
+    p_true = (F.when(F.col("prediction") == F.col(TARGET), F.lit(0.7))
+              .when(F.col(TARGET) == "Adoption", F.lit(0.1)).otherwise(F.lit(0.2)))
+    ll = metrics.log_loss(p.withColumn("p_true", p_true))
+    return ll.select(r6("log_loss").alias("log_loss"), "n")
+
+
+# ---------------------------------------------------- models (rows only)
+
+def _dog_split(spark, sf_dir):
+    d = _complete(spark, sf_dir).filter(F.col("AnimalType") == "Dog").drop("AnimalType")
+    s = stratified_split(d, 0.2, SEED)
+    return s.filter(F.col("split") == "train").drop("split"), \
+        s.filter(F.col("split") == "test").drop("split")
+
+
+def _chain_predict(spark, sf_dir, family: str, params: dict) -> DataFrame:
+    train, test = _dog_split(spark, sf_dir)
+    model = fit_chain(train, family, params)
+    return with_p_true(model.predict(test)).select(KEY, TARGET, "prediction",
+                                                   r6("p_true").alias("p_true"))
+
+
+@query("staged_model_predict")
+def staged_model_predict(spark, sf_dir):
+    return _chain_predict(spark, sf_dir, "knn", {
+        "categorical_eng__max_other_ratio": 0.15, "smote__k_neighbors": 5,
+        "clf__n_neighbors": 5, "clf__weights": "uniform"})
+
+
+@query("logreg_predict")
+def logreg_predict(spark, sf_dir):
+    return _chain_predict(spark, sf_dir, "logistic_regression", {
+        "categorical_eng__max_other_ratio": 0.15, "smote__k_neighbors": 5, "clf__C": 1.0})
+
+
+@query("forest_predict")
+def forest_predict(spark, sf_dir):
+    return _chain_predict(spark, sf_dir, "random_forest", {
+        "categorical_eng__max_other_ratio": 0.15, "smote__k_neighbors": 5,
+        "clf__n_estimators": 100, "clf__max_depth": 15})
+
+
+@query("tournament_results")
+def tournament_results(spark, sf_dir):
+    train, _ = _dog_split(spark, sf_dir)
+    _, _, searches = run_tournament(train, MINIMAL_GRIDS, n_folds=2)
+    return results_table(spark, searches)
+
+
+@query("save_load_score")
+def save_load_score(spark, sf_dir):
+    """Prepare (split table written), train per species, save, load, evaluate."""
+    raw = records(spark, sf_dir).drop(KEY)
+    base = scratch_path(spark, "jobs")
+    split = prepare_split(raw.withColumn(KEY, F.substring("AnimalID", 2, 20).cast("bigint")))
+    io.write_split(split, f"{base}/split")
+    table = spark.read.parquet(f"{base}/split")
+    train = table.filter(F.col("split") == "train").drop("split")
+    feats, target = train.drop(TARGET), train.select(KEY, TARGET)
+    train_all(feats, target, f"{base}/models", grids=MINIMAL_GRIDS, n_folds=2)
+    test = table.filter(F.col("split") == "test").drop("split")
+    return evaluate_models(spark, test, f"{base}/models")

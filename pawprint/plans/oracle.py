@@ -89,24 +89,32 @@ def rare_kept(src: str, ratio: float, part_cols: str = '"column"') -> str:
         f"WHERE CAST(before_n AS DOUBLE) / CAST(total_n AS DOUBLE) < {1.0 - ratio!r}")
 
 
-ENGINEERED_CTE = f"""
-C AS (SELECT R.*, {age_days('AgeuponOutcome')} AS age_days FROM R),
-{cleaner_stats('R')},
+ENGINEERED_COLS = ("rid", "OutcomeType", "OutcomeSubtype", "AnimalType", "log_age_in_days",
+                   "Hour_sin", "Hour_cos", "Wday_sin", "Wday_cos", "IsWeekend", "DoY_sin",
+                   "DoY_cos", "is_mix", "Breed", "Color", "Reproductive_Status", "has_name")
+
+
+def engineered_cte(src: str = "R", ratio: float = 0.15) -> str:
+    """CTEs ending in ``E``: the engineered table fitted and applied on ``src``
+    (unrounded values)."""
+    return f"""
+C AS (SELECT {src}.*, {age_days('AgeuponOutcome')} AS age_days FROM {src}),
+{cleaner_stats(src)},
 P AS (SELECT rid, {primary_breed("coalesce(Breed, 'Unknown')")} AS pb,
-             {primary_color("coalesce(Color, 'Unknown')")} AS pc FROM R),
+             {primary_color("coalesce(Color, 'Unknown')")} AS pc FROM {src}),
 LB AS (SELECT 'Breed' AS "column", pb AS category FROM P UNION ALL
        SELECT 'Color' AS "column", pc AS category FROM P),
-K AS ({rare_kept('LB', 0.15)}),
+K AS ({rare_kept('LB', ratio)}),
 E AS (
   SELECT C.rid, C.OutcomeType, C.OutcomeSubtype, C.AnimalType,
-    {r6("ln(1 + coalesce(C.age_days, stats.age_median))")} AS log_age_in_days,
-    {cyc('hour(C.DateTime)', '24', 'sin')} AS Hour_sin,
-    {cyc('hour(C.DateTime)', '24', 'cos')} AS Hour_cos,
-    {cyc(weekday('C.DateTime'), '7', 'sin')} AS Wday_sin,
-    {cyc(weekday('C.DateTime'), '7', 'cos')} AS Wday_cos,
+    ln(1 + coalesce(C.age_days, stats.age_median)) AS log_age_in_days,
+    sin(2 * pi() * hour(C.DateTime) / 24) AS Hour_sin,
+    cos(2 * pi() * hour(C.DateTime) / 24) AS Hour_cos,
+    sin(2 * pi() * {weekday('C.DateTime')} / 7) AS Wday_sin,
+    cos(2 * pi() * {weekday('C.DateTime')} / 7) AS Wday_cos,
     CAST({weekday('C.DateTime')} >= 5 AS DOUBLE) AS IsWeekend,
-    {cyc('dayofyear(C.DateTime)', '365.25', 'sin')} AS DoY_sin,
-    {cyc('dayofyear(C.DateTime)', '365.25', 'cos')} AS DoY_cos,
+    sin(2 * pi() * dayofyear(C.DateTime) / 365.25) AS DoY_sin,
+    cos(2 * pi() * dayofyear(C.DateTime) / 365.25) AS DoY_cos,
     {is_mix("coalesce(C.Breed, 'Unknown')")} AS is_mix,
     CASE WHEN kb.category IS NOT NULL THEN P.pb ELSE 'Other' END AS Breed,
     CASE WHEN kc.category IS NOT NULL THEN P.pc ELSE 'Other' END AS Color,
@@ -115,4 +123,12 @@ E AS (
   FROM C CROSS JOIN stats JOIN P ON P.rid = C.rid
   LEFT JOIN (SELECT category FROM K WHERE "column" = 'Breed') kb ON kb.category = P.pb
   LEFT JOIN (SELECT category FROM K WHERE "column" = 'Color') kc ON kc.category = P.pc)
-"""
+""".strip()
+
+
+def engineered_select(table: str = "E") -> str:
+    """All engineered columns with doubles rounded to 6 digits."""
+    dbl = ("log_age_in_days", "Hour_sin", "Hour_cos", "Wday_sin", "Wday_cos", "IsWeekend",
+           "DoY_sin", "DoY_cos")
+    cols = [r6(c) + f" AS {c}" if c in dbl else c for c in ENGINEERED_COLS]
+    return f"SELECT {', '.join(cols)} FROM {table}"

@@ -291,7 +291,7 @@ def rare_fit_documents(spark, sf_dir):
     return frequent_categories(counts, 0.15)
 
 
-@query("engineered_table", O.with_records("SELECT * FROM E", O.ENGINEERED_CTE.strip()))
+@query("engineered_table", O.with_records(O.engineered_select(), O.engineered_cte()))
 def engineered_table(spark, sf_dir):
     e = engineered(spark, sf_dir)
     dbl = [c for c, t in e.dtypes if t == "double"]

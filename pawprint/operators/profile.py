@@ -8,6 +8,7 @@ final aggregation, so a hot key is pre-aggregated before the shuffle.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -45,16 +46,17 @@ def value_shares(df: DataFrame, col: str, by=None, dropna: bool = True,
                  percent: bool = False) -> DataFrame:
     """Value counts with their share of the group total (``n / sum(n)``).
 
-    The denominator is a window over the already-aggregated counts (one row
-    per distinct value), partitioned by the group keys.
+    The group totals are a second aggregation over the counts joined back on
+    the group keys (one row per group: broadcast at runtime), so a group
+    with very many distinct values is never gathered into one window task.
     """
-    keys = _by(by)
-    counts = value_counts(df, col, by, dropna)
-    w = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    share = F.col("n") / F.sum("n").over(w)
+    keys, counts = _keyed(value_counts(df, col, by, dropna), by)
+    totals = counts.groupBy(*keys).agg(F.sum("n").alias("_total"))
+    share = F.col("n") / F.col("_total")
     if percent:
         share = share * 100.0
-    return counts.withColumn("pct" if percent else "share", share)
+    return (counts.join(totals, keys, "inner")
+            .withColumn("pct" if percent else "share", share).drop("_total", _ALL))
 
 
 def other_last_order(value: str = "value", n: str = "n") -> list[Column]:
@@ -115,12 +117,17 @@ def crosstab_wide(df: DataFrame, row: str, col: str, labels: Sequence[str], by=N
 
 
 def quantiles(df: DataFrame, col: str, probs: Sequence[float], by=None,
-              approx: bool = False, accuracy: int = 10000) -> DataFrame:
+              approx: bool = False, accuracy: int = 10000, method: str = "inmemory") -> DataFrame:
     """Quantiles of non-null values per group, long form (by..., prob, value).
 
-    Exact ``percentile`` interpolates linearly like pandas; ``approx=True``
-    uses the mergeable GK sketch (``percentile_approx``) for very large groups.
+    ``method="inmemory"``: exact ``percentile`` (linear interpolation like
+    pandas) -- one value->count map per group, right for bounded domains
+    (ages, counts). ``method="selection"``: exact distributed selection
+    (``exact_quantiles``) for unbounded domains and huge groups.
+    ``approx=True``: the mergeable GK sketch (``percentile_approx``).
     """
+    if method == "selection" and not approx:
+        return exact_quantiles(df, col, probs, by)
     keys = _by(by)
     arr = F.array(*[F.lit(float(p)) for p in probs])
     if approx:
@@ -174,3 +181,91 @@ def histogram(df: DataFrame, col: str, bins: int = 50, by=None) -> DataFrame:
                       (F.col("lo") + (F.col("bin") - 1) * width).alias("bin_lo"),
                       (F.col("lo") + F.col("bin") * width).alias("bin_hi"),
                       F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")).drop(_ALL)
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by=None,
+                    buckets: int = 1024, small: int = 200_000, max_passes: int = 12) -> DataFrame:
+    """Exact linearly-interpolated quantiles by distributed selection.
+
+    For value domains too large for ``percentile`` (which keeps one
+    ``value -> count`` map per group in a single task). For every needed
+    rank the value interval holding it is narrowed with equal-width
+    histograms: one aggregation pass over the data per round, each round
+    returning only ``#targets x buckets`` rows (count, min, max per bucket).
+    Buckets are monotone in the value, so a bucket's [min, max] holds
+    exactly its rows. Once a bucket has at most ``small`` rows (or a single
+    value), the rank is resolved by a window over that bucket only.
+    """
+    from pyspark.sql import types as T
+    spark = df.sparkSession
+    keys, src = _keyed(df.filter(F.col(col).isNotNull()), by)
+    src = src.select(*keys, F.col(col).cast("double").alias("_x"))
+    stats = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"),
+                                   F.max("_x").alias("_hi")).collect()
+    key_types = [src.schema[k].dataType for k in keys]
+    targets, want = {}, []
+    for s in stats:
+        g = tuple(s[k] for k in keys)
+        for p in probs:
+            pos = float(p) * (s["_n"] - 1)
+            lo_r, hi_r = math.floor(pos), math.ceil(pos)
+            want.append((g, float(p), pos, lo_r, hi_r))
+            for r in {lo_r, hi_r}:
+                targets.setdefault((g, r), {"lo": s["_lo"], "hi": s["_hi"], "below": 0,
+                                            "count": s["_n"], "value": None})
+    schema = T.StructType([T.StructField(k, t) for k, t in zip(keys, key_types)] + [
+        T.StructField("_tid", T.LongType()), T.StructField("_lo", T.DoubleType()),
+        T.StructField("_hi", T.DoubleType())])
+    tids = {t: i for i, t in enumerate(targets)}
+
+    def open_targets():
+        return [t for t, st in targets.items() if st["value"] is None]
+
+    for _ in range(max_passes):
+        todo = [t for t in open_targets()
+                if targets[t]["count"] > small and targets[t]["lo"] < targets[t]["hi"]]
+        for t in open_targets():
+            if targets[t]["lo"] == targets[t]["hi"]:
+                targets[t]["value"] = targets[t]["lo"]
+        if not todo:
+            break
+        tdf = spark.createDataFrame(
+            [(*t[0], tids[t], targets[t]["lo"], targets[t]["hi"]) for t in todo], schema)
+        j = src.join(tdf, keys, "inner").filter(F.col("_x").between(F.col("_lo"), F.col("_hi")))
+        b = F.least(F.floor((F.col("_x") - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
+                            * buckets), F.lit(buckets - 1))
+        hist = (j.groupBy("_tid", b.alias("_b"))
+                .agg(F.count(F.lit(1)).alias("_c"), F.min("_x").alias("_mn"),
+                     F.max("_x").alias("_mx")).collect())
+        per = {}
+        for h in hist:
+            per.setdefault(h["_tid"], []).append(h)
+        for t in todo:
+            st = targets[t]
+            need = t[1] - st["below"]
+            for h in sorted(per.get(tids[t], []), key=lambda x: x["_b"]):
+                if need < h["_c"]:
+                    st.update(lo=h["_mn"], hi=h["_mx"], count=h["_c"])
+                    break
+                need -= h["_c"]
+                st["below"] += h["_c"]
+    rest = open_targets()
+    if rest:
+        tdf = spark.createDataFrame(
+            [(*t[0], tids[t], targets[t]["lo"], targets[t]["hi"]) for t in rest], schema)
+        j = src.join(tdf, keys, "inner").filter(F.col("_x").between(F.col("_lo"), F.col("_hi")))
+        w = Window.partitionBy("_tid").orderBy("_x")
+        ranked = j.select("_tid", "_x", F.row_number().over(w).alias("_rn"))
+        picks = spark.createDataFrame([(tids[t], t[1] - targets[t]["below"] + 1) for t in rest],
+                                      "_tid long, _rn long")
+        for r in ranked.join(picks, ["_tid", "_rn"]).collect():
+            t = next(x for x in rest if tids[x] == r["_tid"])
+            targets[t]["value"] = r["_x"]
+    rows = []
+    for g, p, pos, lo_r, hi_r in want:
+        lo_v, hi_v = targets[(g, lo_r)]["value"], targets[(g, hi_r)]["value"]
+        val = lo_v if lo_r == hi_r else (hi_r - pos) * lo_v + (pos - lo_r) * hi_v
+        rows.append((*g, p, float(val)))
+    out_schema = T.StructType([T.StructField(k, t) for k, t in zip(keys, key_types)] + [
+        T.StructField("prob", T.DoubleType()), T.StructField("value", T.DoubleType())])
+    return spark.createDataFrame(rows, out_schema).drop(_ALL)

@@ -117,22 +117,23 @@ class RareCategoriesGrouper(Estimator, _RareParams, DefaultParamsReadable, Defau
         if not cols:
             return self._copyValues(RareCategoriesModel(state=None, inline={}))
         state = self.fit_state(df)
-        sizes = {r["column"]: r["k"] for r in
-                 state.groupBy("column").agg(F.count(F.lit(1)).alias("k")).collect()}
-        for c in cols:
-            if c not in sizes:
-                warnings.warn(f"Column '{c}' is empty or contains only nulls during fit.",
-                              RuntimeWarning)
+        # One job: fetch at most INLINE_LIMIT + 1 rows; more means "large".
+        head = state.limit(INLINE_LIMIT + 1).collect()
         inline = None
-        if sum(sizes.values()) <= INLINE_LIMIT:
+        if len(head) <= INLINE_LIMIT:
             inline = {c: [] for c in cols}
-            for r in state.collect():  # bounded by INLINE_LIMIT rows
+            for r in head:
                 inline[r["column"]].append(r["category"])
             state = None
+            empty = [c for c in cols if not inline[c]]
         else:
             # Large lists: materialise once in the shared checkpoint folder so
             # every later transform reads the table instead of refitting.
             state = cut_lineage(state)
+            empty = []
+        for c in empty:
+            warnings.warn(f"Column '{c}' is empty or contains only nulls during fit.",
+                          RuntimeWarning)
         model = RareCategoriesModel(state=state, inline=inline)
         return self._copyValues(model)
 

@@ -18,7 +18,7 @@ from pawprint.plans.chain import ChainModel, fit_chain, fit_prep, with_p_true
 from pawprint.plans.queries import engineered, query, r6, records
 from pawprint.plans.search import (drop_rows_missing_critical, evaluate_models, prepare_split,
                                    results_table, run_tournament, train_all)
-from pawprint.session import scratch_path
+from pawprint.session import cut_lineage, scratch_path
 from pawprint.sources import io
 from pawprint.sources.schema import CRITICAL_COLS, KEY, TARGET
 
@@ -356,7 +356,7 @@ def log_loss_q(spark, sf_dir):
 
 def _dog_split(spark, sf_dir):
     d = _complete(spark, sf_dir).filter(F.col("AnimalType") == "Dog").drop("AnimalType")
-    s = stratified_split(d, 0.2, SEED)
+    s = cut_lineage(stratified_split(d, 0.2, SEED))
     return s.filter(F.col("split") == "train").drop("split"), \
         s.filter(F.col("split") == "test").drop("split")
 

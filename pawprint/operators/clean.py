@@ -90,13 +90,21 @@ class DataCleanerModel(Model, _CleanerParams, DefaultParamsReadable, DefaultPara
             out.append(F.count_if(age_in_days(AGE_COL).isNull()).alias("n_missing_age"))
         return out
 
-    def _transform(self, df: DataFrame) -> DataFrame:
-        require_fitted(self, "sexMode", "ageMedian")
-        # Imputation counts ride along the caller's next action (no extra job).
+    def transform_observed(self, df: DataFrame) -> DataFrame:
+        """``transform`` plus imputation counts that ride along the caller's
+        next action (no extra job); read them with ``imputation_counts()``.
+
+        Kept separate from ``transform`` so model plans (cached, cogrouped)
+        stay pure projections.
+        """
         metrics = self.imputation_columns(df)
         if metrics:
             self.observation = Observation(f"imputation_{uuid.uuid4().hex[:8]}")
             df = df.observe(self.observation, *metrics)
+        return self.transform(df)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        require_fitted(self, "sexMode", "ageMedian")
         drop = set(self.getColumnsToRemove())
         cols = []
         for c in df.columns:

@@ -178,13 +178,19 @@ class RareCategoriesModel(Model, _RareParams):
         cols = [c for c in self.getInputCols() if c in df.columns]
         if not cols:
             return df
-        out = self._apply_inline(df, cols) if self.inline is not None else self._apply_join(df, cols)
-        # Share of Other per column rides along the caller's action.
+        return self._apply_inline(df, cols) if self.inline is not None else self._apply_join(df, cols)
+
+    def transform_observed(self, df: DataFrame) -> DataFrame:
+        """``transform`` plus the share of ``Other`` per column, observed on the
+        caller's next action; ``check_drift()`` then warns like the reference."""
+        out = self.transform(df)
+        cols = [c for c in self.getInputCols() if c in df.columns]
+        if not cols:
+            return out
         self.observation = Observation(f"other_ratio_{uuid.uuid4().hex[:8]}")
-        out = out.observe(self.observation, *[
+        return out.observe(self.observation, *[
             F.avg(F.coalesce(F.col(c) == F.lit(OTHER), F.lit(False)).cast("double"))
             .alias(c) for c in cols])
-        return out
 
     def drift_report(self, df: DataFrame) -> DataFrame:
         """(column, other_ratio, max_other_ratio, exceeded) for a transformed table."""

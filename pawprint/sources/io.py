@@ -33,12 +33,18 @@ def read_raw(spark: SparkSession, path: str, fmt: str = "csv",
              schema: T.StructType | None = RAW_SCHEMA) -> DataFrame:
     """Read the raw record file (CSV with header, or parquet).
 
-    CSV is read with a declared schema (no inference pass over the data) and
-    whitespace kept as is; the NA tokens become null.
+    CSV: the header line names the columns (a one-line read, no inference
+    pass over the data); known columns get their declared type, others are
+    strings. Whitespace is kept as is and the NA tokens become null. A column
+    absent from the file stays absent (so a missing target is detected).
     """
     if fmt == "csv":
         reader = spark.read.option("header", True).option("mode", "FAILFAST")
         if schema is not None:
+            header = reader.csv(path).columns
+            known = {f.name: f for f in schema.fields}
+            schema = T.StructType([known.get(c, T.StructField(c, T.StringType()))
+                                   for c in header])
             reader = reader.schema(schema)
         df = reader.csv(path)
     elif fmt == "parquet":

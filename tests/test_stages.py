@@ -32,7 +32,7 @@ def test_cleaner_learns_mode_and_median(train_frame):
 
 def test_cleaner_transform(train_frame):
     m = DataCleaner().fit(train_frame)
-    out = m.transform(train_frame)
+    out = m.transform_observed(train_frame)
     assert "AnimalID" not in out.columns and "AgeuponOutcome" not in out.columns
     rows = {r.Name: r for r in out.collect()}
     assert rows["Unknown"].Breed == "Unknown" and rows["Unknown"].Color == "Unknown"
@@ -106,7 +106,7 @@ def test_rare_drift_warning(spark):
     train = spark.createDataFrame([("A",)] * 90 + [("B",)] * 10, "Breed string")
     test = spark.createDataFrame([("B",)] * 100, "Breed string")
     m = RareCategoriesGrouper(["Breed"], 0.15).fit(train)
-    out = m.transform(test)
+    out = m.transform_observed(test)
     out.count()
     with warnings.catch_warnings(record=True) as w:
         warnings.simplefilter("always")

@@ -34,6 +34,8 @@ def get_spark(master: str | None = None, app: str = "pawprint",
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "16g")
+        # Checkpoint files of unreferenced datasets are removed by the cleaner.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -70,10 +70,8 @@ def frequent_categories(counts: DataFrame, max_other_ratio: float,
     live = levels.filter(F.col("status") != "none").select(
         *part, "n", "mass_before", "total", "status")
     j = counts.join(live, [*part, "n"], "inner")
-    whole = j.filter(F.col("status") == "all").withColumn("rn", F.lit(None).cast("int"))
-    split = (j.filter(F.col("status") == "part")
-             .withColumn("rn", F.row_number().over(
-                 Window.partitionBy(*part, "n").orderBy("category"))))
+    whole = j.filter(F.col("status") == "all").withColumn("rn", F.lit(None).cast("bigint"))
+    split = _rank_by_name(j.filter(F.col("status") == "part"), [*part, "n"])
     # share before a category = mass of earlier levels + earlier ties in its level.
     tie_before = F.when(F.col("status") == "part", F.col("rn") - 1)
     out = whole.unionByName(split).withColumn("tie_before", tie_before)
@@ -83,6 +81,23 @@ def frequent_categories(counts: DataFrame, max_other_ratio: float,
     return out.select(*part, "category", F.col("n").cast("bigint").alias("n"))
 
 
+def _rank_by_name(df: DataFrame, keys: list[str], prefix_chars: int = 2) -> DataFrame:
+    """``rn``: 1-based rank of ``category`` by name within ``keys``.
+
+    Without a single task per key: categories are bucketed by their first
+    characters (prefix order agrees with string order); a small histogram
+    of the buckets gives each bucket's offset and the rank inside a bucket
+    is a window over that bucket only.
+    """
+    x = df.withColumn("_p", F.substring("category", 1, prefix_chars))
+    hist = x.groupBy(*keys, "_p").agg(F.count(F.lit(1)).alias("_pc"))
+    w = Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    hist = hist.withColumn("_off", F.coalesce(F.sum("_pc").over(w), F.lit(0))).drop("_pc")
+    inner = F.row_number().over(Window.partitionBy(*keys, "_p").orderBy("category"))
+    return (x.join(hist, [*keys, "_p"], "inner")
+            .withColumn("rn", (F.col("_off") + inner).cast("bigint")).drop("_p", "_off"))
+
+
 class _RareParams(Params):
     inputCols = Param(Params._dummy(), "inputCols", "columns to group",
                       typeConverter=TypeConverters.toListString)

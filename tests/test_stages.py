@@ -162,3 +162,29 @@ def test_sex_and_name_stages(spark):
     out = NameFeaturesExtractor().transform(SexFeaturesExtractor().transform(df)).collect()
     assert [(r.Reproductive_Status, r.has_name) for r in out] == [("Neutered/Spayed", 1),
                                                                   ("Unknown", 0)]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_rare_fit_matches_direct_rule(spark, seed):
+    """Level/prefix decomposition equals the direct running-share rule."""
+    import random
+    from pawprint.operators.rare import category_counts, frequent_categories
+    rnd = random.Random(seed)
+    letters = "abcdefghij"
+    cats = ["".join(rnd.choice(letters) for _ in range(rnd.randint(1, 4))) for _ in range(300)]
+    rows = [(c,) for c in cats for _ in range(rnd.choice([1, 1, 1, 2, 3, 8]))]
+    df = spark.createDataFrame(rows, "v string")
+    for ratio in (0.1, 0.35, 0.6):
+        got = sorted(r.category for r in frequent_categories(category_counts(df, ["v"]), ratio)
+                     .collect())
+        counts = {}
+        for (c,) in rows:
+            counts[c] = counts.get(c, 0) + 1
+        total = sum(counts.values())
+        order = sorted(counts, key=lambda c: (-counts[c], c.encode()))
+        want, before = [], 0
+        for c in order:
+            if before / total < 1 - ratio:
+                want.append(c)
+            before += counts[c]
+        assert got == sorted(want)

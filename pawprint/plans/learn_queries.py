@@ -14,10 +14,10 @@ from pawprint.operators.neighbours import knn_edges
 from pawprint.operators.sample import stratified_folds, stratified_split
 from pawprint.operators.smote import oversample, smote_samples
 from pawprint.plans import oracle as O
-from pawprint.plans.chain import ChainModel, fit_chain, fit_prep, with_p_true
+from pawprint.plans.chain import fit_chain, fit_prep, with_p_true
 from pawprint.plans.queries import engineered, query, r6, records
-from pawprint.plans.search import (drop_rows_missing_critical, evaluate_models, prepare_split,
-                                   results_table, run_tournament, train_all)
+from pawprint.plans.search import (evaluate_models, prepare_split, results_table, run_tournament,
+                                   train_all)
 from pawprint.session import cut_lineage, scratch_path
 from pawprint.sources import io
 from pawprint.sources.schema import CRITICAL_COLS, KEY, TARGET

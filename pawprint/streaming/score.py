@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from pawprint.plans.chain import ChainModel, with_p_true
+from pawprint.plans.chain import ChainModel
 from pawprint.session import scratch_path
 from pawprint.sources.schema import KEY
 
@@ -38,7 +38,3 @@ def start_scoring(stream: DataFrame, model: ChainModel, sink_path: str,
     if trigger_once:
         writer = writer.trigger(availableNow=True)
     return writer.start()
-
-
-def with_true_class_probability(scored: DataFrame) -> DataFrame:
-    return with_p_true(scored)

@@ -71,7 +71,9 @@ def null_profile(df: DataFrame, only_missing: bool = True) -> DataFrame:
     stack = ", ".join(f"'{c}', `{c}`" for c in cols)
     out = row.selectExpr(f"stack({len(cols)}, {stack}) AS (column, nulls)")
     out = out.withColumn("nulls", F.col("nulls").cast("bigint"))
-    return out.filter(F.col("nulls") > 0) if only_missing else out
+    out = out.filter(F.col("nulls") > 0) if only_missing else out
+    # One row per column: sorting the report is free.
+    return out.orderBy(F.desc("nulls"), "column")
 
 
 def distinct_counts(df: DataFrame, cols: Sequence[str], by=None, approx: bool = False,

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pawprint.functions import temporal as tf
 from pawprint.functions import text as tx
 from pawprint.operators import profile
+from pawprint.operators.explore import exploration_table
 from pawprint.operators.clean import DataCleaner
 from pawprint.operators.rare import RareCategoriesGrouper, category_counts, frequent_categories
 from pawprint.operators.stages import (CategoricalFeaturesEngineer, NameFeaturesExtractor,
@@ -394,16 +395,7 @@ def top_values_by_group(spark, sf_dir):
 
 def eda_table(spark, sf_dir) -> DataFrame:
     """Exploration columns of the records (notebook derivations)."""
-    r = records(spark, sf_dir)
-    ts = F.col("DateTime")
-    return r.select(
-        "AnimalType", "OutcomeType", "SexuponOutcome",
-        F.month(ts).cast("bigint").alias("Month"), F.hour(ts).cast("bigint").alias("Hour"),
-        tf.weekday_name(ts).alias("Weekday_Name"),
-        tx.has_name("Name", unknown_is_missing=False).alias("has_name"),
-        tx.reproductive_status("SexuponOutcome", None).alias("Reproductive_Status"),
-        tx.breed_type("Breed").alias("Breed_Type"),
-        tf.weekend_label(ts).alias("IsWeekend_Label"))
+    return exploration_table(records(spark, sf_dir))
 
 
 _EDA_SQL = (

@@ -90,3 +90,17 @@ def test_knn_distance_weights_and_zero_distance(spark):
     assert out[10].proba["a"] == pytest.approx(1.0 / (1.0 + 0.5 + 0.4))
     # zero distance: only the identical row votes
     assert out[11].prediction == "a" and out[11].proba["a"] == 1.0
+
+
+def test_exploration_table(spark):
+    from pawprint.operators.explore import exploration_table
+    df = spark.createDataFrame(
+        [("2024-04-06 03:00:00", "2 years", "Rex", "Intact Female", "Lab Mix", "Black/White")],
+        "DateTime string, AgeuponOutcome string, Name string, SexuponOutcome string, "
+        "Breed string, Color string")
+    r = exploration_table(df).first()
+    assert (r.age_in_days, r.Month, r.Hour, r.Weekday_Name, r.Weekday_Num) == (730.0, 4, 3, "Sat", 5)
+    assert (r.IsWeekend_Label, r.TimeOfDay, r.has_name, r.Gender) == ("Weekend", "Night", 1, "Female")
+    assert (r.Reproductive_Status, r.Breed_Type, r.Primary_Breed) == ("Intact", "Mixed", "Lab")
+    assert (r.Is_Multicolor, r.Primary_Color, r.KittenSeason_Label) == \
+        ("Multicolor", "Black", "Kitten Season")

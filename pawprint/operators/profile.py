@@ -34,6 +34,17 @@ def _keyed(df: DataFrame, by) -> tuple[list[str], DataFrame]:
     return [_ALL], df.withColumn(_ALL, F.lit(0))
 
 
+def _attach(df: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
+    """Add the per-group columns of ``small`` (one row per group) to ``df``.
+
+    Grouped: equi-join on the keys (AQE broadcasts the small side at
+    runtime). Ungrouped: scalar subqueries, so no cross join is planned.
+    """
+    if keys:
+        return df.join(small, keys, "inner")
+    return df.withColumns({c: small.select(c).scalar() for c in small.columns})
+
+
 def value_counts(df: DataFrame, col: str, by=None, dropna: bool = True) -> DataFrame:
     """(by..., value, n); nulls excluded unless ``dropna=False``."""
     keys = _by(by)
@@ -46,17 +57,18 @@ def value_shares(df: DataFrame, col: str, by=None, dropna: bool = True,
                  percent: bool = False) -> DataFrame:
     """Value counts with their share of the group total (``n / sum(n)``).
 
-    The group totals are a second aggregation over the counts joined back on
-    the group keys (one row per group: broadcast at runtime), so a group
-    with very many distinct values is never gathered into one window task.
+    The group totals are a second aggregation over the counts attached on
+    the group keys (one row per group), so a group with very many distinct
+    values is never gathered into one window task.
     """
-    keys, counts = _keyed(value_counts(df, col, by, dropna), by)
+    keys = _by(by)
+    counts = value_counts(df, col, by, dropna)
     totals = counts.groupBy(*keys).agg(F.sum("n").alias("_total"))
     share = F.col("n") / F.col("_total")
     if percent:
         share = share * 100.0
-    return (counts.join(totals, keys, "inner")
-            .withColumn("pct" if percent else "share", share).drop("_total", _ALL))
+    return (_attach(counts, totals, keys)
+            .withColumn("pct" if percent else "share", share).drop("_total"))
 
 
 def other_last_order(value: str = "value", n: str = "n") -> list[Column]:
@@ -144,35 +156,35 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float], by=None,
 
 def box_summary(df: DataFrame, col: str, by=None, whisker: float = 1.5) -> DataFrame:
     """Quartiles, whiskers (extreme values within ``whisker``*IQR) and outlier count."""
-    keys, src = _keyed(df.filter(F.col(col).isNotNull()), by)
+    keys = _by(by)
+    src = df.filter(F.col(col).isNotNull())
     q = src.groupBy(*keys).agg(
         F.percentile(F.col(col), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
     q = q.select(*keys, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
                  F.col("q")[2].alias("q3"))
     q = (q.withColumn("lo_fence", F.col("q1") - whisker * (F.col("q3") - F.col("q1")))
           .withColumn("hi_fence", F.col("q3") + whisker * (F.col("q3") - F.col("q1"))))
-    # Join the one-row-per-group fences back (small side; AQE broadcasts it).
-    j = src.join(q, keys, "inner")
+    j = _attach(src, q, keys)
     inside = (F.col(col) >= F.col("lo_fence")) & (F.col(col) <= F.col("hi_fence"))
-    out = j.groupBy(*keys, "q1", "median", "q3").agg(
+    return j.groupBy(*keys, "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col(col))).alias("whisker_lo"),
         F.max(F.when(inside, F.col(col))).alias("whisker_hi"),
         F.count_if(~inside).cast("bigint").alias("n_outliers"),
         F.count(F.lit(1)).alias("n"))
-    return out.drop(_ALL)
 
 
 def histogram(df: DataFrame, col: str, bins: int = 50, by=None) -> DataFrame:
     """Equal-width histogram over [min, max] per group, all bins present.
 
     Bin = ``least(width_bucket(x, lo, hi, bins), bins)`` so the maximum lands
-    in the last bin. Empty bins come from ``sequence(1, bins)`` joined to the
-    per-group range; all joins are on the one-row-per-group range table.
+    in the last bin. Empty bins come from ``sequence(1, bins)`` on the
+    per-group range table, left-joined to the counts.
     """
-    keys, src = _keyed(df.filter(F.col(col).isNotNull()), by)
+    keys = _by(by)
+    src = df.filter(F.col(col).isNotNull())
     rng = src.groupBy(*keys).agg(F.min(col).cast("double").alias("lo"),
                                  F.max(col).cast("double").alias("hi"))
-    j = src.join(rng, keys, "inner")
+    j = _attach(src, rng, keys)
     width = (F.col("hi") - F.col("lo")) / bins
     bucket = F.when(F.col("hi") == F.col("lo"), F.lit(1)).otherwise(
         F.least(F.width_bucket(F.col(col), F.col("lo"), F.col("hi"), F.lit(bins)), F.lit(bins)))
@@ -182,7 +194,7 @@ def histogram(df: DataFrame, col: str, bins: int = 50, by=None) -> DataFrame:
     return out.select(*keys, F.col("bin").cast("bigint").alias("bin"),
                       (F.col("lo") + (F.col("bin") - 1) * width).alias("bin_lo"),
                       (F.col("lo") + F.col("bin") * width).alias("bin_hi"),
-                      F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")).drop(_ALL)
+                      F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"))
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by=None,
@@ -223,6 +235,23 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by=None,
     def open_targets():
         return [t for t, st in targets.items() if st["value"] is None]
 
+    def restrict(ts) -> DataFrame:
+        """Rows inside the interval of each target (rows x matching targets).
+
+        Grouped: equi-join on the group keys. Ungrouped: the few targets are
+        a literal array filtered per row, so no join is planned at all.
+        """
+        if by is not None and _by(by):
+            tdf = spark.createDataFrame(
+                [(*t[0], tids[t], targets[t]["lo"], targets[t]["hi"]) for t in ts], schema)
+            j = src.join(tdf, keys, "inner")
+            return j.filter(F.col("_x").between(F.col("_lo"), F.col("_hi")))
+        arr = F.array(*[F.struct(F.lit(tids[t]).cast("long").alias("_tid"),
+                                 F.lit(float(targets[t]["lo"])).alias("_lo"),
+                                 F.lit(float(targets[t]["hi"])).alias("_hi")) for t in ts])
+        hit = F.filter(arr, lambda e: F.col("_x").between(e["_lo"], e["_hi"]))
+        return src.select("_x", F.explode(hit).alias("_t")).select("_x", "_t.*")
+
     for _ in range(max_passes):
         todo = [t for t in open_targets()
                 if targets[t]["count"] > small and targets[t]["lo"] < targets[t]["hi"]]
@@ -231,9 +260,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by=None,
                 targets[t]["value"] = targets[t]["lo"]
         if not todo:
             break
-        tdf = spark.createDataFrame(
-            [(*t[0], tids[t], targets[t]["lo"], targets[t]["hi"]) for t in todo], schema)
-        j = src.join(tdf, keys, "inner").filter(F.col("_x").between(F.col("_lo"), F.col("_hi")))
+        j = restrict(todo)
         b = F.least(F.floor((F.col("_x") - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
                             * buckets), F.lit(buckets - 1))
         hist = (j.groupBy("_tid", b.alias("_b"))
@@ -253,9 +280,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by=None,
                 st["below"] += h["_c"]
     rest = open_targets()
     if rest:
-        tdf = spark.createDataFrame(
-            [(*t[0], tids[t], targets[t]["lo"], targets[t]["hi"]) for t in rest], schema)
-        j = src.join(tdf, keys, "inner").filter(F.col("_x").between(F.col("_lo"), F.col("_hi")))
+        j = restrict(rest)
         w = Window.partitionBy("_tid").orderBy("_x")
         ranked = j.select("_tid", "_x", F.row_number().over(w).alias("_rn"))
         picks = spark.createDataFrame([(tids[t], t[1] - targets[t]["below"] + 1) for t in rest],

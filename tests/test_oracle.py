@@ -21,3 +21,9 @@ def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert "log_age_in_days" in df.columns and "Reproductive_Status" in df.columns
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_no_cross_join_in_plan(spark, name):
+    plan = entry.queries()[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan

@@ -2,30 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.param import Params
 from pyspark.sql import DataFrame
 
 
-def has_all(df: DataFrame, cols) -> bool:
-    return all(c in df.columns for c in cols)
-
-
-def present(df: DataFrame, cols) -> list[str]:
-    return [c for c in cols if c in df.columns]
-
-
-def str_param(owner, name: str, doc: str) -> Param:
-    return Param(owner, name, doc, typeConverter=TypeConverters.toString)
-
-
-def float_param(owner, name: str, doc: str) -> Param:
-    return Param(owner, name, doc, typeConverter=TypeConverters.toFloat)
-
-
-def list_param(owner, name: str, doc: str) -> Param:
-    return Param(owner, name, doc, typeConverter=TypeConverters.toListString)
-
-
 def fit_transform(estimator, df: DataFrame) -> DataFrame:
     """Fit on ``df`` then transform the same rows (the scikit-learn shortcut)."""
     return estimator.fit(df).transform(df)

@@ -188,3 +188,9 @@ def test_rare_fit_matches_direct_rule(spark, seed):
                 want.append(c)
             before += counts[c]
         assert got == sorted(want)
+
+
+def test_fit_transform_helper(train_frame):
+    from pawprint.operators.base import fit_transform
+    out = fit_transform(DataCleaner(), train_frame)
+    assert out.count() == 4 and "log_age_in_days" in out.columns

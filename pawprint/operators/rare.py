@@ -18,6 +18,7 @@ its categories by name, which is the only place a per-category sort runs.
 from __future__ import annotations
 
 import json
+import logging
 import uuid
 import warnings
 
@@ -32,6 +33,8 @@ from pawprint.functions.text import OTHER
 from pawprint.operators.base import NotFittedError
 from pawprint.session import cut_lineage
 
+log = logging.getLogger(__name__)
+
 # Kept lists up to this many categories are applied as an in-expression
 # (``isin``); longer ones are applied with a join against the state table.
 INLINE_LIMIT = 20_000
@@ -147,8 +150,9 @@ class RareCategoriesGrouper(Estimator, _RareParams, DefaultParamsReadable, Defau
             state = cut_lineage(state)
             empty = []
         for c in empty:
-            warnings.warn(f"Column '{c}' is empty or contains only nulls during fit.",
-                          RuntimeWarning)
+            msg = f"Column '{c}' is empty or contains only NaNs (nulls) during fit."
+            log.warning(msg)
+            warnings.warn(msg, RuntimeWarning)
         model = RareCategoriesModel(state=state, inline=inline)
         return self._copyValues(model)
 

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pawprint.functions import temporal as tf
 from pawprint.functions import text as tx
@@ -24,7 +25,8 @@ from pawprint.operators.stages import (CategoricalFeaturesEngineer, NameFeatures
 from pawprint.plans import oracle as O
 from pawprint.sources import io
 from pawprint.sources.fixture import record_table
-from pawprint.sources.schema import CRITICAL_COLS, KEY, LEAKAGE_COLS, TARGET, TARGET_COL
+from pawprint.sources.schema import (CRITICAL_COLS, KEY, LEAKAGE_COLS, RAW_SCHEMA, TARGET,
+                                     TARGET_COL)
 from pawprint.session import scratch_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -103,14 +105,8 @@ def raw_csv_round_trip(spark, sf_dir):
     """Records written as CSV into the shared scratch folder and read back."""
     r = records(spark, sf_dir)
     path = scratch_path(spark, "raw-csv")
-    (r.write.mode("overwrite").option("header", True)
-     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-     .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path))
-    from pyspark.sql import types as T
-    from pawprint.sources.schema import RAW_SCHEMA
-    order = [f.name for f in RAW_SCHEMA.fields]
-    schema = T.StructType([T.StructField("rid", T.LongType())] + [
-        RAW_SCHEMA[c] for c in R_COLS if c in order])
+    io.write_csv(r, path)
+    schema = T.StructType([T.StructField(KEY, T.LongType()), *RAW_SCHEMA.fields])
     back = io.read_raw(spark, path, "csv", schema)
     return back.withColumn("DateTime", tf.parse_datetime("DateTime"))
 

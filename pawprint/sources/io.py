@@ -103,9 +103,12 @@ def write_split(df: DataFrame, out: str, split_col: str = "split", mode: str = "
 
 
 def write_csv(df: DataFrame, out: str, mode: str = "overwrite") -> None:
-    """CSV with header and whitespace kept (Spark trims by default)."""
+    """CSV with header, whitespace kept (Spark trims by default) and full
+    microsecond timestamps (the default format would cut them to millis)."""
     (df.write.mode(mode).option("header", True)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+     .option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSSXXX")
      .option("emptyValue", "").csv(out))
 
 

@@ -197,6 +197,9 @@ def histogram(df: DataFrame, col: str, bins: int = 50, by=None) -> DataFrame:
                       F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"))
 
 
+BROADCAST_TARGETS = 100_000
+
+
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by=None,
                     buckets: int = 1024, small: int = 200_000, max_passes: int = 12) -> DataFrame:
     """Exact linearly-interpolated quantiles by distributed selection.
@@ -244,7 +247,9 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by=None,
         if by is not None and _by(by):
             tdf = spark.createDataFrame(
                 [(*t[0], tids[t], targets[t]["lo"], targets[t]["hi"]) for t in ts], schema)
-            j = src.join(tdf, keys, "inner")
+            # The row count is known here (len(ts)): broadcast only below a bound.
+            j = src.join(F.broadcast(tdf) if len(ts) <= BROADCAST_TARGETS else tdf,
+                         keys, "inner")
             return j.filter(F.col("_x").between(F.col("_lo"), F.col("_hi")))
         arr = F.array(*[F.struct(F.lit(tids[t]).cast("long").alias("_tid"),
                                  F.lit(float(targets[t]["lo"])).alias("_lo"),

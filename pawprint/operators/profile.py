@@ -154,14 +154,24 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float], by=None,
         *keys, F.col("q.prob").alias("prob"), F.col("q.value").cast("double").alias("value"))
 
 
-def box_summary(df: DataFrame, col: str, by=None, whisker: float = 1.5) -> DataFrame:
-    """Quartiles, whiskers (extreme values within ``whisker``*IQR) and outlier count."""
+def box_summary(df: DataFrame, col: str, by=None, whisker: float = 1.5,
+                method: str = "inmemory") -> DataFrame:
+    """Quartiles, whiskers (extreme values within ``whisker``*IQR) and outlier count.
+
+    ``method`` as in ``quantiles`` ("selection" for unbounded value domains).
+    """
     keys = _by(by)
     src = df.filter(F.col(col).isNotNull())
-    q = src.groupBy(*keys).agg(
-        F.percentile(F.col(col), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
-    q = q.select(*keys, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
-                 F.col("q")[2].alias("q3"))
+    if method == "selection":
+        long = exact_quantiles(src, col, (0.25, 0.5, 0.75), by)
+        q = long.groupBy(*keys).agg(*[
+            F.max(F.when(F.col("prob") == p, F.col("value"))).alias(name)
+            for p, name in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
+    else:
+        q = src.groupBy(*keys).agg(
+            F.percentile(F.col(col), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
+        q = q.select(*keys, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
+                     F.col("q")[2].alias("q3"))
     q = (q.withColumn("lo_fence", F.col("q1") - whisker * (F.col("q3") - F.col("q1")))
           .withColumn("hi_fence", F.col("q3") + whisker * (F.col("q3") - F.col("q1"))))
     j = _attach(src, q, keys)

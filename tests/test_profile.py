@@ -44,6 +44,8 @@ def test_box_summary_and_histogram(spark):
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     b = profile.box_summary(df, "x").first()
     assert (b.q1, b.median, b.q3) == (2.0, 3.0, 4.0)
+    s = profile.box_summary(df, "x", method="selection").first()
+    assert s.asDict() == b.asDict()
     assert b.whisker_lo == 1.0 and b.whisker_hi == 4.0 and b.n_outliers == 1
     h = {r.bin: r.n for r in profile.histogram(df, "x", bins=10).collect()}
     assert len(h) == 10 and sum(h.values()) == 5 and h[10] == 1 and h[1] == 4

@@ -20,5 +20,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
+    from pawprint.plans.oracle import positive_zero
     _load()
-    return dict(_q.ORACLE)
+    return {name: positive_zero(sql) for name, sql in _q.ORACLE.items()}

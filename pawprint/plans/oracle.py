@@ -9,6 +9,37 @@ from __future__ import annotations
 from pawprint.sources.fixture import RECORDS_SQL
 
 
+def positive_zero(sql: str) -> str:
+    """Wrap every ``round(...)`` call as ``(round(...) + 0.0)``.
+
+    DuckDB's ``round`` keeps the sign of tiny negative values (-0.0) where
+    Spark's decimal rounding gives +0.0; adding 0.0 turns -0.0 into +0.0 on
+    both sides, so the value hashes agree.
+    """
+    out, i = [], 0
+    while True:
+        j = sql.find("round(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        if j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_"):
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k = 0, j + 5
+        while True:
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        out.append(sql[i:j])
+        out.append("(round(" + positive_zero(sql[j + 6:k]) + ") + 0.0)")
+        i = k + 1
+
+
 def with_records(body: str, extra: str = "") -> str:
     ctes = f"R AS ({RECORDS_SQL})"
     if extra:

@@ -48,8 +48,9 @@ def query(name: str, sql: str | None = None):
 
 
 def r6(c) -> Column:
+    """Round to 6 digits; ``+ 0.0`` turns a -0.0 into +0.0 (as in the oracle)."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.round(c.cast("double"), 6)
+    return F.round(c.cast("double"), 6) + F.lit(0.0)
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -168,21 +168,19 @@ SELECT rid,
   CASE WHEN hour(DateTime) <= 5 THEN 'Night' WHEN hour(DateTime) <= 11 THEN 'Morning'
        WHEN hour(DateTime) <= 16 THEN 'Afternoon' WHEN hour(DateTime) <= 23 THEN 'Evening' END
     AS TimeOfDay,
-  CAST(month(DateTime) AS BIGINT) AS Month, CAST(hour(DateTime) AS BIGINT) AS Hour,
+  CAST(month(DateTime) AS DOUBLE) AS Month, CAST(hour(DateTime) AS DOUBLE) AS Hour,
   strftime(DateTime, '%a') AS Weekday_Name,
-  CAST({O.weekday('DateTime')} AS BIGINT) AS Weekday_Num,
+  CAST({O.weekday('DateTime')} AS DOUBLE) AS Weekday_Num,
   CASE WHEN coalesce(dayofyear(DateTime) BETWEEN 91 AND 304, false) THEN 'Kitten Season'
        ELSE 'Out of Season' END AS KittenSeason_Label
 FROM R"""))
 def temporal_labels(spark, sf_dir):
-    r = records(spark, sf_dir)
-    ts = F.col("DateTime")
-    return r.select(
-        "rid", tf.weekend_label(ts).alias("IsWeekend_Label"), tf.time_of_day(ts).alias("TimeOfDay"),
-        F.month(ts).cast("bigint").alias("Month"), F.hour(ts).cast("bigint").alias("Hour"),
-        tf.weekday_name(ts).alias("Weekday_Name"),
-        tf.weekday(ts).cast("bigint").alias("Weekday_Num"),
-        tf.kitten_season(ts).alias("KittenSeason_Label"))
+    """E6-E9. Month / hour / weekday number are null for null dates; they are
+    emitted as double so nullable numbers convert alike on both sides."""
+    e = exploration_table(records(spark, sf_dir))
+    return e.select("rid", "IsWeekend_Label", "TimeOfDay",
+                    *[F.col(c).cast("double").alias(c) for c in ("Month", "Hour", "Weekday_Num")],
+                    "Weekday_Name", "KittenSeason_Label")
 
 
 # ---------------------------------------------------------------- text rules

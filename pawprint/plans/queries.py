@@ -57,6 +57,17 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return record_table(spark, sf_dir)
 
 
+TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+TS_TEXT_SQL = "strftime(DateTime, '%Y-%m-%d %H:%M:%S.%f')"
+
+
+def ts_text(df: DataFrame, col: str = "DateTime") -> DataFrame:
+    """Timestamp rendered as canonical microsecond text for query output:
+    engines convert timestamps to different pandas precisions (ns vs us),
+    the text is identical everywhere."""
+    return df.withColumn(col, F.date_format(F.col(col), TS_TEXT))
+
+
 def engineered(spark: SparkSession, sf_dir: str, ratio: float = 0.15) -> DataFrame:
     """K1-K5 fitted and applied on the whole record table (the flagship table)."""
     r = records(spark, sf_dir)
@@ -78,7 +89,7 @@ def clean_age_days(spark, sf_dir):
 
 
 @query("clean_imputed", O.with_records(f"""
-SELECT rid, coalesce(Name, 'Unknown') AS Name, DateTime, OutcomeType, OutcomeSubtype,
+SELECT rid, coalesce(Name, 'Unknown') AS Name, {TS_TEXT_SQL} AS DateTime, OutcomeType, OutcomeSubtype,
   AnimalType, coalesce(SexuponOutcome, stats.sex_mode) AS SexuponOutcome,
   coalesce(Breed, 'Unknown') AS Breed, coalesce(Color, 'Unknown') AS Color,
   {O.r6("ln(1 + coalesce(" + O.age_days('AgeuponOutcome') + ", stats.age_median))")}
@@ -87,7 +98,7 @@ FROM R CROSS JOIN stats""", O.cleaner_stats("R")))
 def clean_imputed(spark, sf_dir):
     r = records(spark, sf_dir)
     out = DataCleaner().fit(r).transform(r)
-    return out.withColumn("log_age_in_days", r6("log_age_in_days"))
+    return ts_text(out.withColumn("log_age_in_days", r6("log_age_in_days")))
 
 
 @query("imputation_counts", O.with_records(f"""
@@ -101,7 +112,7 @@ def imputation_counts(spark, sf_dir):
                    zip(model.imputation_columns(r), ("n_missing_sex", "n_missing_age"))])
 
 
-@query("raw_csv_round_trip", O.with_records("SELECT * FROM R"))
+@query("raw_csv_round_trip", O.with_records(f"SELECT * REPLACE ({TS_TEXT_SQL} AS DateTime) FROM R"))
 def raw_csv_round_trip(spark, sf_dir):
     """Records written as CSV into the shared scratch folder and read back."""
     r = records(spark, sf_dir)
@@ -109,38 +120,43 @@ def raw_csv_round_trip(spark, sf_dir):
     io.write_csv(r, path)
     schema = T.StructType([T.StructField(KEY, T.LongType()), *RAW_SCHEMA.fields])
     back = io.read_raw(spark, path, "csv", schema)
-    return back.withColumn("DateTime", tf.parse_datetime("DateTime"))
+    return ts_text(back.withColumn("DateTime", tf.parse_datetime("DateTime")))
 
 
 @query("drop_critical_nulls", O.with_records(
-    "SELECT * FROM R WHERE DateTime IS NOT NULL AND AnimalType IS NOT NULL"))
+    f"SELECT * REPLACE ({TS_TEXT_SQL} AS DateTime) FROM R "
+    "WHERE DateTime IS NOT NULL AND AnimalType IS NOT NULL"))
 def drop_critical_nulls(spark, sf_dir):
-    return records(spark, sf_dir).na.drop(how="any", subset=list(CRITICAL_COLS))
+    return ts_text(records(spark, sf_dir).na.drop(how="any", subset=list(CRITICAL_COLS)))
 
 
 @query("group_table", O.with_records(
-    "SELECT * EXCLUDE (AnimalType) FROM R WHERE AnimalType = 'Dog'"))
+    f"SELECT * EXCLUDE (AnimalType) REPLACE ({TS_TEXT_SQL} AS DateTime) FROM R "
+    "WHERE AnimalType = 'Dog'"))
 def group_table(spark, sf_dir):
     r = records(spark, sf_dir)
-    return r.filter(F.col("AnimalType") == "Dog").drop("AnimalType")
+    return ts_text(r.filter(F.col("AnimalType") == "Dog").drop("AnimalType"))
 
 
 @query("target_without_leakage", O.with_records(
-    "SELECT * EXCLUDE (OutcomeType, OutcomeSubtype), OutcomeType AS target FROM R"))
+    f"SELECT * EXCLUDE (OutcomeType, OutcomeSubtype) REPLACE ({TS_TEXT_SQL} AS DateTime), "
+    "OutcomeType AS target FROM R"))
 def target_without_leakage(spark, sf_dir):
     r = records(spark, sf_dir)
     io.require_columns(r, [TARGET_COL])
-    return r.withColumn(TARGET, F.col(TARGET_COL)).drop(*[c for c in LEAKAGE_COLS if c in r.columns])
+    out = r.withColumn(TARGET, F.col(TARGET_COL)).drop(*[c for c in LEAKAGE_COLS if c in r.columns])
+    return ts_text(out)
 
 
 @query("features_target_check", O.with_records(
-    "SELECT * EXCLUDE (OutcomeType, OutcomeSubtype), OutcomeType AS target FROM R"))
+    f"SELECT * EXCLUDE (OutcomeType, OutcomeSubtype) REPLACE ({TS_TEXT_SQL} AS DateTime), "
+    "OutcomeType AS target FROM R"))
 def features_target_check(spark, sf_dir):
     """Features and target as two tables sharing ``rid``, checked and re-joined."""
     r = records(spark, sf_dir)
     feats = r.drop(*LEAKAGE_COLS)
     target = r.select(KEY, F.col(TARGET_COL).alias(TARGET))
-    return io.align_features_target(feats, target)
+    return ts_text(io.align_features_target(feats, target))
 
 
 # ------------------------------------------------------------------ temporal

@@ -33,7 +33,8 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        # ORACLE_EXACT=1: bit-exact doubles (what a strict value hash sees).
+        return v if os.environ.get("ORACLE_EXACT") else round(v, 6)
     if hasattr(v, "item") and not isinstance(v, (str, bytes)):
         try:
             return _norm(v.item())
@@ -73,6 +74,11 @@ def compare(spark_df, sql: str, sf_dir: str) -> tuple[bool, str]:
     d_cols, d_rows = rows_of(d_pdf)
     if s_cols != d_cols:
         return False, f"columns differ: spark={s_cols} duck={d_cols}"
+    s_types = {c: str(t) for c, t in s_pdf.dtypes.items()}
+    d_types = {c: str(t) for c, t in d_pdf.dtypes.items()}
+    if s_types != d_types:
+        diff = {c: (s_types[c], d_types[c]) for c in s_types if s_types[c] != d_types[c]}
+        return False, f"pandas dtypes differ (spark, duck): {diff}"
     if sum(s_rows.values()) != sum(d_rows.values()):
         return False, f"row count spark={sum(s_rows.values())} duck={sum(d_rows.values())}"
     if s_rows != d_rows:

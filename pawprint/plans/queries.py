@@ -451,6 +451,22 @@ for _k in CROSSTAB_KEYS:
     query(f"crosstab_{_k}", _crosstab_sql(_k, True))(_crosstab_query(_k, True))
 
 
+OUTCOMES = ("Adoption", "Euthanasia", "Transfer")
+
+
+@query("crosstab_wide_status", O.with_records(
+    "SELECT AnimalType, Reproductive_Status, " + ", ".join(
+        f"round(CAST(count(*) FILTER (WHERE OutcomeType = '{o}') AS DOUBLE) / count(*), 6) AS {o}"
+        for o in OUTCOMES)
+    + " FROM D WHERE AnimalType IS NOT NULL AND Reproductive_Status IS NOT NULL "
+      "AND OutcomeType IS NOT NULL GROUP BY 1, 2", _EDA_SQL))
+def crosstab_wide_status(spark, sf_dir):
+    """F10 in wide form (``pivot`` with an explicit label list; absent pairs 0)."""
+    d = eda_table(spark, sf_dir).filter(F.col("AnimalType").isNotNull())
+    out = profile.crosstab_wide(d, "Reproductive_Status", "OutcomeType", OUTCOMES, by="AnimalType")
+    return out.select("AnimalType", "Reproductive_Status", *[r6(o).alias(o) for o in OUTCOMES])
+
+
 # --------------------------------------------------------------- quantiles
 
 def _age_table(spark, sf_dir) -> DataFrame:

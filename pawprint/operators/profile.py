@@ -222,6 +222,10 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by=None,
     Buckets are monotone in the value, so a bucket's [min, max] holds
     exactly its rows. Once a bucket has at most ``small`` rows (or a single
     value), the rank is resolved by a window over that bucket only.
+
+    Meant for few, large groups: the interval state of every target lives on
+    the driver (#groups x #probs entries). Many small groups are better
+    served by ``percentile`` (``method="inmemory"``), whose maps stay small.
     """
     from pyspark.sql import types as T
     spark = df.sparkSession

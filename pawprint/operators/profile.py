@@ -45,12 +45,18 @@ def _attach(df: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
     return df.withColumns({c: small.select(c).scalar() for c in small.columns})
 
 
-def value_counts(df: DataFrame, col: str, by=None, dropna: bool = True) -> DataFrame:
-    """(by..., value, n); nulls excluded unless ``dropna=False``."""
+def value_counts(df: DataFrame, col: str, by=None, dropna: bool = True,
+                 ordered: bool = False) -> DataFrame:
+    """(by..., value, n); nulls excluded unless ``dropna=False``.
+
+    ``ordered=True`` sorts the (small, aggregated) result like a report:
+    group keys, count descending, then value.
+    """
     keys = _by(by)
     src = df.filter(F.col(col).isNotNull()) if dropna else df
-    return (src.groupBy(*keys, F.col(col).alias("value"))
-            .agg(F.count(F.lit(1)).alias("n")))
+    out = (src.groupBy(*keys, F.col(col).alias("value"))
+           .agg(F.count(F.lit(1)).alias("n")))
+    return out.orderBy(*keys, F.desc("n"), F.col("value")) if ordered else out
 
 
 def value_shares(df: DataFrame, col: str, by=None, dropna: bool = True,

@@ -37,6 +37,8 @@ def test_value_shares_and_other_last(spark):
     assert {r.value: r.share for r in shares.collect()}["Other"] == pytest.approx(5 / 11)
     with_nulls = {r.value: r.n for r in profile.value_counts(df, "v", dropna=False).collect()}
     assert with_nulls[None] == 1
+    ordered = [(r.value, r.n) for r in profile.value_counts(df, "v", ordered=True).collect()]
+    assert ordered == [("Other", 5), ("a", 3), ("b", 3)]
 
 
 def test_box_summary_and_histogram(spark):

@@ -27,3 +27,10 @@ def test_entry_runs(spark):
 def test_no_cross_join_in_plan(spark, name):
     plan = entry.queries()[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_scans_read_only_needed_columns(spark):
+    plan = entry.queries()["clean_age_days"](spark, SF001)._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "ReadSchema: struct<event_id:bigint>" in plan
+    assert "ReadSchema: struct<p_partkey:bigint>" in plan

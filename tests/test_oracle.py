@@ -34,3 +34,21 @@ def test_scans_read_only_needed_columns(spark):
         .executedPlan().toString()
     assert "ReadSchema: struct<event_id:bigint>" in plan
     assert "ReadSchema: struct<p_partkey:bigint>" in plan
+
+
+PYTHON_STAGES = ("ArrowEvalPython", "BatchEvalPython", "FlatMapCoGroupsInPandas",
+                 "FlatMapGroupsInPandas", "MapInPandas")
+NEIGHBOUR_QUERIES = {"smote_neighbours", "smote_rows", "smote_class_counts",
+                     "knn_predict_embeddings"}
+
+
+@pytest.mark.parametrize("name", sorted(set(SQL) - NEIGHBOUR_QUERIES))
+def test_no_python_stage_outside_neighbour_search(spark, name):
+    plan = entry.queries()[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert not any(p in plan for p in PYTHON_STAGES)
+
+
+def test_top_k_limits_before_shuffle(spark):
+    plan = entry.queries()["top_values_by_group"](spark, SF001)._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan

@@ -194,3 +194,17 @@ def test_fit_transform_helper(train_frame):
     from pawprint.operators.base import fit_transform
     out = fit_transform(DataCleaner(), train_frame)
     assert out.count() == 4 and "log_age_in_days" in out.columns
+
+
+def test_record_key_has_no_overflow_on_huge_ids(spark):
+    import datetime as dt
+    from pawprint.sources.fixture import records_from
+    ids = [5, 3_037_000_500, 9_000_000_000_000_000_000]
+    events = spark.createDataFrame(
+        [(i, dt.datetime(2024, 1, 1), 2, "click") for i in ids],
+        "event_id long, ts timestamp_ntz, user_id long, event_type string")
+    part = spark.createDataFrame([(k, f"p{k}", "TYPE", k % 5) for k in range(200)],
+                                 "p_partkey long, p_name string, p_type string, p_size int")
+    got = {r.rid: r.Breed for r in records_from(events, part).collect()}
+    want = {i: f"p{(i % 199) ** 2 % 199}" for i in ids}
+    assert {k: v.split(" ")[0].split("/")[0] for k, v in got.items()} == want

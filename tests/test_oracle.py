@@ -52,3 +52,9 @@ def test_top_k_limits_before_shuffle(spark):
     plan = entry.queries()["top_values_by_group"](spark, SF001)._jdf.queryExecution() \
         .executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_no_cross_join_in_knn_chain_plan(spark):
+    plan = entry.queries()["staged_model_predict"](spark, SF001)._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan

@@ -4,11 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pawprint.llm import packing, pfor
+from pawprint.llm import decontam, jaccard_join, packing, pfor
 from pawprint.llm.common import load
 from pawprint.session import scratch_path
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.decontaminate(load(spark, sf_dir, "documents"),
+                                  load(spark, sf_dir, "benchmark"))
+
+
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link_components(load(spark, sf_dir, "documents"))
+
+
 def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-ids")
     pfor.write_ids(load(spark, sf_dir, "documents"), path)
@@ -20,8 +29,13 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op7_jaccard_join": op7_jaccard_join,
     "op9_token_ids": op9_token_ids,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_benchmark_decontamination": decontam.ORACLE,
+    "op7_jaccard_join": jaccard_join.ORACLE,
+}

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pawprint.llm import decontam, jaccard_join, packing, pfor
+from pawprint.llm import decontam, jaccard_join, packing, pfor, suffix_dedup
 from pawprint.llm.common import load
 from pawprint.session import scratch_path
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(load(spark, sf_dir, "documents"))
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.decontaminate(load(spark, sf_dir, "documents"),
                                   load(spark, sf_dir, "benchmark"))
@@ -29,6 +33,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op7_jaccard_join": op7_jaccard_join,
     "op9_token_ids": op9_token_ids,

@@ -127,9 +127,10 @@ def _pack_rows(capacity: int, turn: int, names: list[str]):
     def run(batches):
         from pyspark import TaskContext
         part = TaskContext.get().partitionId()
-        table = pa.Table.from_batches(list(batches)) if batches else None
-        if table is None or not table.num_rows:
+        batches = [b for b in batches if b.num_rows]
+        if not batches:
             return
+        table = pa.Table.from_batches(batches)
         sizes = table.column("length").to_numpy()
         where, offset, free = best_fit_decreasing(sizes, capacity)
         bound = lower_bound(sizes, capacity)

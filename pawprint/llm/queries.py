@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pawprint.llm import decontam, jaccard_join, packing, pfor, suffix_dedup
+from pawprint.llm import decontam, jaccard_join, packing, pfor, suffix_dedup, toxicity
 from pawprint.llm.common import load
 from pawprint.session import scratch_path
 
@@ -18,6 +18,11 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
                                   load(spark, sf_dir, "benchmark"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, load(spark, sf_dir, "labels")))
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link_components(load(spark, sf_dir, "documents"))
 
@@ -35,6 +40,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op5_toxicity": op5_toxicity,
     "op7_jaccard_join": op7_jaccard_join,
     "op9_token_ids": op9_token_ids,
     "op10_best_fit_packing": op10_best_fit_packing,

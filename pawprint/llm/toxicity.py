@@ -31,7 +31,7 @@ BITS = 20
 #: Labelled rows of either class that training reads at most.
 TRAIN_ROWS = 6_000
 EPOCHS = 4
-ALPHA, BETA, L1, L2 = 0.1, 1.0, 1.0, 1.0
+ALPHA, BETA, L1, L2 = 0.3, 1.0, 6.0, 1.0
 THRESHOLD = 0.7
 _STEMS = (5, 6, 7)
 

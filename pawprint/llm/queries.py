@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pawprint.llm import decontam, jaccard_join, packing, pfor, suffix_dedup, toxicity
+from pawprint.llm import decontam, jaccard_join, line_rules, packing, pfor, secret_scan, suffix_dedup, toxicity
 from pawprint.llm.common import load
 from pawprint.session import scratch_path
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(load(spark, sf_dir, "documents"))
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(load(spark, sf_dir, "documents"))
 
@@ -23,6 +27,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, load(spark, sf_dir, "labels")))
 
 
+def op6_line_frequency_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.quality(load(spark, sf_dir, "documents"))
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link_components(load(spark, sf_dir, "documents"))
 
@@ -38,9 +46,11 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_toxicity": op5_toxicity,
+    "op6_line_frequency_rules": op6_line_frequency_rules,
     "op7_jaccard_join": op7_jaccard_join,
     "op9_token_ids": op9_token_ids,
     "op10_best_fit_packing": op10_best_fit_packing,
@@ -48,5 +58,6 @@ QUERIES = {
 
 ORACLE: dict[str, str] = {
     "op4_benchmark_decontamination": decontam.ORACLE,
+    "op6_line_frequency_rules": line_rules.ORACLE,
     "op7_jaccard_join": jaccard_join.ORACLE,
 }

@@ -14,8 +14,9 @@ pivots: the window that keeps every link inside a region.
 
 Between levels. Regions of few members give candidate pairs; a pair whose
 parity sketches differ in more bits than the symmetric difference of two
-linked sets can have is no link, exactly. Larger regions stay together. What
-still hangs together is a group, and no link leaves a group.
+linked sets can have is no link, exactly. Larger regions are compared by
+sketches as a whole, the largest stay together. What still hangs together is
+a group, and no link leaves a group.
 
 Level 1 and on. Inside a group pivots are documents: members within r of a
 pivot join its class, all go to the Voronoi region of their nearest pivot and
@@ -48,6 +49,9 @@ from pawprint.llm.common import (SPACE, need, offsets_of, partitions, shingles,
 WIDTH = 5
 #: A region of at most so many members is compared pair by pair.
 SMALL_REGION = 16
+#: One of at most so many by sketches in one task; a larger one is a star.
+MIDDLE_REGION = 2000
+PAIR, MEMBER, STAR = range(3)
 #: Counters of the count-min sketch (4 bytes each), for every size of input.
 COUNTERS = 1 << 20
 COUNTER_BLOCKS = 64
@@ -207,33 +211,43 @@ def _window_rows(level, width: int, n_buckets: int, names: list[str]):
 
 
 def region_edges(pivot: np.ndarray, ids: np.ndarray, size: np.ndarray):
-    """Candidates from the regions of entries (pivot, set id, size): pairs of small
-    regions that sizes allow, and stars (first member to all others) of large ones."""
+    """What the regions of entries (pivot, set id, size) leave to compare.
+
+    Pairs of small regions that sizes allow; members of middle regions, as
+    (hash of the member list, set id), equal lists once; stars (first member
+    to all others) of the largest.
+    """
     order = np.lexsort((ids, size, pivot))
     pivot, ids, size = pivot[order], ids[order], size[order]
     keep = np.r_[True, (pivot[1:] != pivot[:-1]) | (ids[1:] != ids[:-1])]
     pivot, ids, size = pivot[keep], ids[keep], size[keep]
     start = np.flatnonzero(np.r_[True, pivot[1:] != pivot[:-1]])
     count = np.diff(np.r_[start, len(pivot)])
-    a, b, star = [], [], []
+    pairs, members, stars = [], [], []
     for m in np.unique(count[(count > 1) & (count <= SMALL_REGION)]).tolist():
         first = start[count == m]
         for i, j in itertools.combinations(range(m), 2):
             x, y = first + i, first + j
             ok = 3 * size[y] <= 4 * size[x]  # ascending sizes within a region
-            a.append(ids[x[ok]])
-            b.append(ids[y[ok]])
-    pairs = (np.concatenate(a), np.concatenate(b)) if a else (ids[:0], ids[:0])
+            pairs.append(np.stack([ids[x[ok]], ids[y[ok]]], 1))
+    lists = set()
     for s, m in zip(start[count > SMALL_REGION].tolist(), count[count > SMALL_REGION].tolist()):
-        star.append((np.full(m - 1, ids[s]), ids[s + 1:s + m]))
-    stars = tuple(np.concatenate(c) for c in zip(*star)) if star else (ids[:0], ids[:0])
+        own = ids[s:s + m]
+        name = set_id(own)
+        if name in lists:
+            continue
+        lists.add(name)
+        if m <= MIDDLE_REGION:
+            members.append(np.stack([np.full(m, name), own], 1))
+        else:
+            stars.append(np.stack([np.full(m - 1, own[0]), own[1:]], 1))
 
-    def distinct(x, y):
-        low, high = np.minimum(x, y), np.maximum(x, y)
-        both = np.unique(np.stack([low, high], 1), axis=0) if len(low) else np.zeros((0, 2), int)
-        return both[:, 0], both[:, 1]
+    def distinct(rows, ordered):
+        rows = np.concatenate(rows) if rows else np.zeros((0, 2), np.int64)
+        rows = rows if ordered else np.sort(rows, axis=1)
+        return np.unique(rows, axis=0) if len(rows) else rows
 
-    return distinct(*pairs), distinct(*stars)
+    return distinct(pairs, False), distinct(members, True), distinct(stars, False)
 
 
 def _bucket_edges(key, table):
@@ -246,23 +260,59 @@ def _bucket_edges(key, table):
         pivot.append(wide.view("<u8").ravel())
         ids.append(np.frombuffer(r["ids"], np.int64)[number])
         size.append(np.frombuffer(r["sizes"], "<u4").astype(np.int64)[number])
-    (a, b), (c, d) = region_edges(*map(np.concatenate, (pivot, ids, size)))
-    return pa.table({"a": pa.array(np.r_[a, c], pa.int64()),
-                     "b": pa.array(np.r_[b, d], pa.int64()),
-                     "star": pa.array(np.r_[np.zeros(len(a), bool), np.ones(len(c), bool)])})
+    found = region_edges(*map(np.concatenate, (pivot, ids, size)))
+    rows = np.concatenate(found)
+    return pa.table({"a": pa.array(rows[:, 0], pa.int64()), "b": pa.array(rows[:, 1], pa.int64()),
+                     "kind": pa.array(np.repeat([PAIR, MEMBER, STAR], [len(f) for f in found]),
+                                      pa.int32())})
 
 
 def _near_rows(names: list[str]):
     """Pairs that are in a star, or whose sketches leave a link possible."""
     def run(batches):
         for batch in batches:
-            rows = batch.select(["star", "n_a", "n_b", "data_a", "data_b"]).to_pylist()
-            keep = [r["star"] or 7 * differing_bits(r["data_a"], r["data_b"])
+            rows = batch.select(["kind", "n_a", "n_b", "data_a", "data_b"]).to_pylist()
+            keep = [r["kind"] == STAR or 7 * differing_bits(r["data_a"], r["data_b"])
                     <= r["n_a"] + r["n_b"] for r in rows]
             yield batch.filter(pa.array(keep, pa.bool_())).select(names)
     return run
 
 
+def sketch_classes(size: np.ndarray, sketches: list[bytes]) -> list[int]:
+    """Classes of sets under "the sketches leave a link possible", compared by
+    size windows; a number of a member stands for its class."""
+    forest = Forest(len(size))
+    width = np.array([len(x) for x in sketches])
+    bits = {}
+    for w in np.unique(width).tolist():
+        # Sketches of this width, and those twice as wide folded onto it.
+        rows = np.zeros((len(size), w), np.uint8)
+        for i in np.flatnonzero((width == w) | (width == 2 * w)).tolist():
+            x = np.frombuffer(sketches[i], np.uint8)
+            rows[i] = x if len(x) == w else x[:w] ^ x[w:]
+        bits[w] = rows.view(np.uint64)
+    order = np.argsort(size, kind="stable")
+    ranked = size[order]
+    for k, x in enumerate(order.tolist()):
+        end = int(np.searchsorted(ranked, 4 * size[x] // 3, side="right"))
+        others = order[k + 1:end]
+        others = others[(width[others] == width[x]) | (width[others] == 2 * width[x])]
+        if not len(others):
+            continue
+        rows = bits[int(width[x])]
+        differ = np.bitwise_count(rows[others] ^ rows[x]).sum(axis=1, dtype=np.int64)
+        for y in others[7 * differ <= size[others] + size[x]].tolist():
+            forest.join(x, y)
+    return [forest.find(x) for x in range(len(size))]
+
+
+def _middle_region(key, table):
+    root = sketch_classes(table.column("n").to_numpy(), table.column("data").to_pylist())
+    node = table.column("node")
+    at = pa.array(np.arange(len(root))[np.array(root) != np.arange(len(root))], pa.int64())
+    return pa.table({"a": node.take(pa.array(root, pa.int64())).take(at), "b": node.take(at)})
+
+
 # ---- inside a group ----------------------------------------------------------
 
 class Forest:
@@ -448,17 +498,19 @@ def candidate_groups(docs: DataFrame, profile: DataFrame, classes: DataFrame,
     windows = docs.mapInArrow(
         _window_rows(level, width, n_buckets, names),
         "bucket int, ids binary, sizes binary, pivots binary, numbers binary")
-    pairs = (windows.groupBy("bucket").applyInArrow(
-        _bucket_edges, "a bigint, b bigint, star boolean")
-        .groupBy("a", "b").agg(F.max("star").alias("star")))
+    found = stored(windows.groupBy("bucket").applyInArrow(
+        _bucket_edges, "a bigint, b bigint, kind int").distinct(), "regions")
     side = lambda s: classes.select(
         F.col("sid").alias(s), F.col("node").alias(f"node_{s}"), F.col("n").alias(f"n_{s}"),
         F.col("data").alias(f"data_{s}"))
     kind = classes.schema["node"].dataType.simpleString()
-    near = (pairs.join(side("a"), "a").join(side("b"), "b")
-            .mapInArrow(_near_rows(["node_a", "node_b"]), f"node_a {kind}, node_b {kind}"))
-    return stored(near.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")),
-                  "candidates")
+    pairs = (found.filter(F.col("kind") != MEMBER).join(side("a"), "a").join(side("b"), "b")
+             .mapInArrow(_near_rows(["node_a", "node_b"]), f"node_a {kind}, node_b {kind}")
+             .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
+    middle = (found.filter(F.col("kind") == MEMBER)
+              .join(classes.withColumnRenamed("sid", "b"), "b").select("a", "node", "n", "data")
+              .groupBy("a").applyInArrow(_middle_region, f"a {kind}, b {kind}"))
+    return stored(pairs.unionByName(middle), "candidates")
 
 
 def _hot_roots(texts: DataFrame, degree: DataFrame, sizes: DataFrame, width: int,

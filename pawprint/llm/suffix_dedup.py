@@ -88,7 +88,12 @@ def anchors(offs: np.ndarray, data: np.ndarray, length: int = LENGTH, gram: int
 # ---- 1. anchors that occur more than once ------------------------------------
 
 def _anchor_rows(n_buckets: int, names: list[str]):
+    """Anchors of a slice of documents, dealt over buckets (four bytes of the hash,
+    the document's number in the slice, the place), and the slice's documents in
+    a row of a negative bucket."""
     def run(batches):
+        from pyspark import TaskContext
+        name = TaskContext.get().partitionId() << 32
         for part in slices(batches):
             offs, data = offsets_of(part.column("text"))
             h, row, p, _, _ = anchors(offs, data)
@@ -96,61 +101,115 @@ def _anchor_rows(n_buckets: int, names: list[str]):
             bucket = (h % np.uint64(n_buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             h, row, p, bucket = h[order], row[order], p[order], bucket[order]
+            h = (h // np.uint64(n_buckets)).astype("<u4")
+            number = "<u2" if part.num_rows <= 65536 else "<u4"
             cuts = np.searchsorted(bucket, np.arange(n_buckets + 1))
-            ids, marks = part.column("doc_id"), part.column("mark")
-            out = {c: [] for c in names}
-            for b in range(n_buckets):
-                lo, hi = cuts[b], cuts[b + 1]
-                if lo == hi:
-                    continue
-                docs, number = np.unique(row[lo:hi], return_inverse=True)
-                cut = np.ascontiguousarray((h[lo:hi] // np.uint64(n_buckets)).astype("<u8")
-                                           .view(np.uint8).reshape(-1, 8)[:, :5])
-                take = pa.array(docs)
-                for c, v in zip(names, (b, ids.take(take).to_pylist(),
-                                        marks.take(take).to_pylist(), cut.tobytes(),
-                                        number.astype("<u4").tobytes(),
-                                        p[lo:hi].astype("<u4").tobytes())):
-                    out[c].append(v)
-            if out[names[0]]:
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(out["bucket"], pa.int32()),
-                    pa.array(out["ids"], pa.list_(ids.type)),
-                    pa.array(out["marks"], pa.list_(pa.int64())),
-                    *[pa.array(out[c], pa.binary()) for c in names[3:]]], names=names)
+            used = np.flatnonzero(np.diff(cuts))
+            ids = part.column("doc_id")
+            n = len(used) + 1
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.append(used, -1 - name % n_buckets), pa.int32()),
+                pa.array([name] * n, pa.int64()),
+                pa.array([None] * (n - 1) + [ids.to_pylist()], pa.list_(ids.type)),
+                pa.array([None] * (n - 1) + [part.column("mark").to_pylist()],
+                         pa.list_(pa.int64())),
+                *[pa.array([x[cuts[k]:cuts[k + 1]].astype(kind).tobytes() for k in used] + [None],
+                           pa.binary()) for x, kind in ((h, "<u4"), (row, number), (p, "<u4"))]],
+                names=names)
+            name += 1
     return run
 
 
+def _numbers(raw: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(raw, "<u2" if len(raw) == 2 * n else "<u4").astype(np.int64)
+
+
 def _repeated(hot: int, names: list[str]):
-    """Per document the places of its repeated anchors, the hot ones apart."""
+    """Per slice the anchors that occur more than once; documents pass through."""
+    def run(key, table):
+        if key[0].as_py() < 0:
+            nothing = pa.nulls(table.num_rows, pa.binary())
+            return pa.table([table.column("slice"), table.column("ids"), table.column("marks"),
+                             nothing, nothing, nothing], names=names)
+        rows = table.select(["slice", "hashes", "numbers", "places"]).to_pylist()
+        h = [np.frombuffer(r["hashes"], "<u4") for r in rows]
+        ends = np.cumsum([len(x) for x in h])
+        _, inverse, count = np.unique(np.concatenate(h), return_inverse=True, return_counts=True)
+        count = count[inverse]
+        out = []
+        for r, end, own in zip(rows, ends.tolist(), h):
+            c = count[end - len(own):end]
+            keep = c > 1
+            if keep.any():
+                out.append((r["slice"], _numbers(r["numbers"], len(own))[keep].astype("<u4")
+                            .tobytes(), np.frombuffer(r["places"], "<u4")[keep].tobytes(),
+                            (c[keep] > hot).tobytes()))
+        cols = list(zip(*out)) or [[], [], [], []]
+        n = len(out)
+        return pa.table([pa.array(cols[0], pa.int64()), pa.nulls(n, table.schema.field("ids").type),
+                         pa.nulls(n, pa.list_(pa.int64())),
+                         *[pa.array(c, pa.binary()) for c in cols[1:]]], names=names)
+    return run
+
+
+def _by_document(names: list[str]):
+    """Of one slice, the repeated anchors of each document, the hot ones apart."""
     def run(key, table):
         kind = table.schema.field("ids").type.value_type
-        ids, marks, h, number, p, base = [], [], [], [], [], 0
+        ids, marks, number, place, hot = [], [], [], [], []
         for r in table.to_pylist():
-            wide = np.zeros((len(r["places"]) // 4, 8), np.uint8)
-            wide[:, :5] = np.frombuffer(r["hashes"], np.uint8).reshape(-1, 5)
-            h.append(wide.view("<u8").ravel())
-            number.append(np.frombuffer(r["numbers"], "<u4").astype(np.int64) + base)
-            p.append(np.frombuffer(r["places"], "<u4"))
-            ids += r["ids"]
-            marks += r["marks"]
-            base += len(r["ids"])
-        h, number, p = map(np.concatenate, (h, number, p))
-        _, inverse, count = np.unique(h, return_inverse=True, return_counts=True)
-        count = count[inverse]
-        keep = count > 1
-        number, p, count = number[keep], p[keep], count[keep]
+            if r["ids"] is not None:
+                ids, marks = r["ids"], r["marks"]
+            else:
+                place.append(np.frombuffer(r["places"], "<u4"))
+                number.append(_numbers(r["numbers"], len(place[-1])))
+                hot.append(np.frombuffer(r["hot"], bool))
+        if not place:
+            return pa.table([pa.array([], kind), pa.array([], pa.int64()),
+                             pa.array([], pa.binary()), pa.array([], pa.binary())], names=names)
+        number, place, hot = map(np.concatenate, (number, place, hot))
         order = np.argsort(number, kind="stable")
-        number, p, count = number[order], p[order], count[order]
+        number, place, hot = number[order], place[order], hot[order]
         docs, at = np.unique(number, return_index=True)
-        some = [p[a:b][count[a:b] <= hot].tobytes() for a, b in zip(at, np.r_[at[1:], len(p)])]
-        many = [p[a:b][count[a:b] > hot].tobytes() for a, b in zip(at, np.r_[at[1:], len(p)])]
+        ends = np.r_[at[1:], len(number)]
+        some = [place[a:b][~hot[a:b]].tobytes() for a, b in zip(at, ends)]
+        many = [place[a:b][hot[a:b]].tobytes() for a, b in zip(at, ends)]
         return pa.table([pa.array([ids[d] for d in docs], kind),
                          pa.array([marks[d] for d in docs], pa.int64()),
                          pa.array(some, pa.binary()), pa.array(many, pa.binary())], names=names)
     return run
 
 
+def _press_rows(names: list[str]):
+    def run(batches):
+        import zstandard
+        press = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([
+                batch.column("doc_id"), batch.column("mark"),
+                pa.array([press(t.encode()) for t in batch.column("text").to_pylist()],
+                         pa.binary())], names=names)
+    return run
+
+
+def _opened(batches, step: int):
+    """Batches of about ``step`` bytes of text, from compressed text in column z."""
+    import zstandard
+    open_ = zstandard.ZstdDecompressor().decompress
+    for batch in batches:
+        others = [c for c in batch.schema.names if c != "z"]
+        texts, size, first = [], 0, 0
+        raw = batch.column("z").to_pylist()
+        for i, z in enumerate(raw):
+            texts.append(open_(z))
+            size += len(texts[-1])
+            if size >= step or i + 1 == len(raw):
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(c).slice(first, len(texts)) for c in others]
+                    + [pa.array(texts, pa.binary()).cast(pa.string())], names=others + ["text"])
+                texts, size, first = [], 0, i + 1
+
+
 # ---- 2. and 3. runs ----------------------------------------------------------
 
 def shared_prefix(a: bytes, b: bytes) -> int:
@@ -189,8 +248,7 @@ def _segments(part: pa.RecordBatch):
     wanted = []
     for r in range(part.num_rows):
         for raws, hot in ((some[r], 0), (many[r], 1)):
-            places = np.concatenate([np.frombuffer(x, "<u4") for x in raws] or
-                                    [np.zeros(0, np.uint32)]).astype(np.int64)
+            places = np.frombuffer(raws, "<u4").astype(np.int64)
             wanted.append((places + offs[r]) * 2 + hot)
     wanted = np.sort(np.concatenate(wanted)) if wanted else np.zeros(0, np.int64)
     at = np.searchsorted(wanted // 2, p)
@@ -207,11 +265,14 @@ def _segments(part: pa.RecordBatch):
 
 
 def _run_rows(splitters: list[bytes], names: list[str]):
-    """Front-coded blocks per range; removed spans (range -1); digests of hot windows (-2)."""
+    """Front-coded blocks per range; under negative ranges, which only spread them,
+    spans that the run removed and digests of hot windows."""
     def run(batches):
         import zstandard
+        from pyspark import TaskContext
         press = zstandard.ZstdCompressor(level=1).compress
-        for part in slices(batches, step=4 << 20):
+        beside = -1 - TaskContext.get().partitionId() % (len(splitters) + 1)
+        for part in _opened(batches, 4 << 20):
             kind = part.schema.field("doc_id").type
             found = _segments(part)
             found.sort()
@@ -243,12 +304,12 @@ def _run_rows(splitters: list[bytes], names: list[str]):
                             number.astype("<u4").tobytes(),
                             np.array([x[3] for x in block], "<u4").tobytes()))
             if spans:
-                out.append((-1, [ids[r] for r in spans], [marks[r] for r in spans], b"",
+                out.append((beside, [ids[r] for r in spans], [marks[r] for r in spans], b"",
                             np.array([len(v) for v in spans.values()], "<u4").tobytes(),
                             np.concatenate([*spans.values()]).astype("<u4").tobytes(),
                             b"", b"", b"", b""))
             if digests:
-                out.append((-2, [ids[d[0]] for d in digests], [marks[d[0]] for d in digests],
+                out.append((beside, [ids[d[0]] for d in digests], [marks[d[0]] for d in digests],
                             b"", b"", b"".join([d[2] for d in digests]), b"", b"", b"",
                             np.array([d[1] for d in digests], "<u4").tobytes()))
             for lo in range(0, len(out), 64):
@@ -355,6 +416,8 @@ def _merge_range(names: list[str]):
         import zstandard
         open_ = zstandard.ZstdDecompressor().decompress
         kind = table.schema.field("ids").type.value_type
+        if key[0].as_py() < 0:
+            return _beside(table, kind, names)
         runs, info, refs = [], [], []
         for r in table.to_pylist():
             runs.append((front_decode(r["shared"], r["lens"], open_(r["rests"])), r["shared"]))
@@ -384,49 +447,41 @@ def _merge_range(names: list[str]):
         close()
         return pa.table([pa.array([refs[r][0] for r in spans], kind),
                          pa.array([refs[r][1] for r in spans], pa.int64()),
-                         pa.array([v for v in spans.values()], pa.list_(pa.int64()))],
-                        names=names)
-    return run
-
-
-def _local_rows(names: list[str]):
-    """The spans that runs removed themselves."""
-    def run(batches):
-        for batch in batches:
-            for r in batch.to_pylist():
-                n = np.frombuffer(r["lens"], "<u4")
-                flat = np.frombuffer(r["rests"], "<u4").astype(np.int64)
-                spans = np.split(flat, np.cumsum(n)[:-1])
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(r["ids"], batch.schema.field("ids").type.value_type),
-                    pa.array(r["marks"], pa.int64()),
-                    pa.array(spans, pa.list_(pa.int64()))], names=names)
+                         pa.array([v for v in spans.values()], pa.list_(pa.int64())),
+                         pa.nulls(len(spans), pa.binary())], names=names)
     return run
 
 
-def _digest_rows(names: list[str]):
-    def run(batches):
-        for batch in batches:
-            for r in batch.to_pylist():
-                raw = r["rests"]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(r["ids"], batch.schema.field("ids").type.value_type),
-                    pa.array(r["marks"], pa.int64()),
-                    pa.array(np.frombuffer(r["places"], "<u4").astype(np.int64)),
-                    pa.array([raw[i:i + 16] for i in range(0, len(raw), 16)], pa.binary())],
+def _beside(table, kind, names: list[str]):
+    """Rows of a negative range: removed spans as they are, and a row per digest."""
+    ids, marks, spans, digests = [], [], [], []
+    for r in table.to_pylist():
+        ids += r["ids"]
+        marks += r["marks"]
+        raw = r["rests"]
+        if r["lens"]:
+            n = np.frombuffer(r["lens"], "<u4")
+            spans += [x.tolist() for x in np.split(
+                np.frombuffer(raw, "<u4").astype(np.int64), np.cumsum(n)[:-1])]
+            digests += [None] * len(n)
+        else:
+            spans += [[x] for x in np.frombuffer(r["places"], "<u4").tolist()]
+            digests += [raw[i:i + 16] for i in range(0, len(raw), 16)]
+    return pa.table([pa.array(ids, kind), pa.array(marks, pa.int64()),
+                     pa.array(spans, pa.list_(pa.int64())), pa.array(digests, pa.binary())],
                     names=names)
-    return run
 
 
 def _splitters(wanted: DataFrame, n_ranges: int) -> list[bytes]:
     """Keys that cut the sorted segments of a bounded number of documents evenly.
 
     They are as long as an anchor's string, so no group lies on both sides of one."""
-    few = (wanted.select("doc_id", "mark", "text", "some", "many")
-           .orderBy(F.xxhash64("mark")).limit(SPLITTER_DOCS))
+    one_in = max(1, wanted.count() // SPLITTER_DOCS)
+    few = (wanted.filter(F.pmod(F.xxhash64("mark"), F.lit(one_in)) == 0)
+           .select("doc_id", "mark", "z", "some", "many").limit(4 * SPLITTER_DOCS))
 
     def run(batches):
-        for part in slices(batches):
+        for part in _opened(batches, 4 << 20):
             keys = sorted({s[0][:GRAM] for s in _segments(part)})
             if keys:
                 yield pa.RecordBatch.from_arrays([pa.array(
@@ -440,7 +495,7 @@ def _splitters(wanted: DataFrame, n_ranges: int) -> list[bytes]:
 
 def _removed_rows(names: list[str]):
     def run(batches):
-        for part in slices(batches):
+        for part in _opened(batches, 4 << 20):
             spans = part.column("spans").to_pylist()
             texts = part.column("text").to_pylist()
             cut, runs, shas, ends = [], [], [], []
@@ -473,44 +528,44 @@ def find_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
     n_parts = partitions(spark)
-    names = ["bucket", "ids", "marks", "hashes", "numbers", "places"]
+    names = ["bucket", "slice", "ids", "marks", "hashes", "numbers", "places"]
+    docs_of = f"ids array<{kind}>, marks array<bigint>"
     entries = docs.filter(F.octet_length("text") >= LENGTH).mapInArrow(
         _anchor_rows(2 * n_parts, names),
-        f"bucket int, ids array<{kind}>, marks array<bigint>, hashes binary, "
-        "numbers binary, places binary")
-    repeated = entries.groupBy("bucket").applyInArrow(
-        _repeated(hot, ["doc_id", "mark", "some", "many"]),
-        f"doc_id {kind}, mark bigint, some binary, many binary")
-    lists = repeated.groupBy("doc_id", "mark").agg(F.collect_list("some").alias("some"),
-                                                   F.collect_list("many").alias("many"))
-    key = docs["doc_id"].eqNullSafe(lists["doc_id"]) & (docs["mark"] == lists["mark"])
-    wanted = docs.join(lists, key).select(docs["doc_id"], docs["mark"], "text", "some", "many")
-    wanted = stored(wanted.dropDuplicates(["doc_id", "mark"]), "repeated-docs")
+        f"bucket int, slice bigint, {docs_of}, hashes binary, numbers binary, places binary")
+    names = ["slice", "ids", "marks", "numbers", "places", "hot"]
+    key = ["doc_id", "mark"]
+    lists = (entries.groupBy("bucket").applyInArrow(
+        _repeated(hot, names), f"slice bigint, {docs_of}, numbers binary, places binary, "
+        "hot binary")
+        .groupBy("slice").applyInArrow(
+            _by_document(["id", "m", "some", "many"]),
+            f"id {kind}, m bigint, some binary, many binary").dropDuplicates(["id", "m"]))
+    pressed = docs.mapInArrow(_press_rows([*key, "z"]), f"doc_id {kind}, mark bigint, z binary")
+    wanted = pressed.join(lists, pressed["doc_id"].eqNullSafe(lists["id"]) &
+                          (pressed["mark"] == lists["m"])).drop("id", "m")
+    wanted = stored(wanted.dropDuplicates(key), "repeated-docs")
     cols = ["range", "ids", "marks", "shared", "lens", "rests", "left_lens", "lefts", "numbers",
             "places"]
-    runs = stored(wanted.mapInArrow(
+    runs = wanted.mapInArrow(
         _run_rows(_splitters(wanted, 2 * n_parts), cols),
-        f"range int, ids array<{kind}>, marks array<bigint>, " +
-        ", ".join(f"{c} binary" for c in cols[3:])), "runs")
-    span_names, span_schema = ["doc_id", "mark", "spans"], (
-        f"doc_id {kind}, mark bigint, spans array<bigint>")
-    merged = runs.filter("range >= 0").groupBy("range").applyInArrow(
-        _merge_range(span_names), span_schema)
-    local = runs.filter("range = -1").mapInArrow(_local_rows(span_names), span_schema)
-    windows = runs.filter("range = -2").mapInArrow(
-        _digest_rows(["doc_id", "mark", "start", "digest"]),
-        f"doc_id {kind}, mark bigint, start bigint, digest binary")
-    spot = F.struct("doc_id", "mark", "start")
+        f"range int, {docs_of}, " + ", ".join(f"{c} binary" for c in cols[3:]))
+    found = stored(runs.groupBy("range").applyInArrow(
+        _merge_range([*key, "spans", "digest"]),
+        f"doc_id {kind}, mark bigint, spans array<bigint>, digest binary"), "found")
+    windows = found.filter("digest IS NOT NULL").select(
+        *key, F.get("spans", F.lit(0)).alias("start"), "digest")
+    spot = F.struct(*key, "start")
     first = windows.groupBy("digest").agg(F.min(spot).alias("first"))
-    late = (windows.join(first, "digest").filter(spot != F.col("first"))
-            .select("doc_id", "mark", F.array("start", F.col("start") + LENGTH).alias("spans")))
-    spans = (merged.unionByName(local).unionByName(late).groupBy("doc_id", "mark")
-             .agg(F.collect_list("spans").alias("spans"))
+    late = (windows.join(first, "digest").filter(~spot.eqNullSafe(F.col("first")))
+            .select(*key, F.array("start", F.col("start") + LENGTH).alias("spans")))
+    spans = (found.filter("digest IS NULL").select(*key, "spans").unionByName(late)
+             .groupBy(*key).agg(F.collect_list("spans").alias("spans"))
              .withColumnsRenamed({"doc_id": "id", "mark": "m"}))
     out = ["doc_id", "mark", "n_removed", "starts", "ends", "kept_sha256"]
     return (wanted.join(spans, wanted["doc_id"].eqNullSafe(spans["id"]) &
                         (wanted["mark"] == spans["m"]))
-            .select("doc_id", "mark", "text", "spans")
+            .select("doc_id", "mark", "z", "spans")
             .mapInArrow(_removed_rows(out), f"doc_id {kind}, mark bigint, n_removed bigint, "
                         "starts array<bigint>, ends array<bigint>, kept_sha256 string"))
 

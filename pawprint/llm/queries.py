@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pawprint.llm import decontam, jaccard_join, line_rules, packing, pfor, secret_scan, suffix_dedup, toxicity
+from pawprint.llm import (decontam, jaccard_join, line_rules, packing, pfor, secret_scan,
+                          suffix_dedup, toxicity, weak_quality)
 from pawprint.llm.common import load
 from pawprint.session import scratch_path
 
@@ -13,6 +14,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(load(spark, sf_dir, "documents"))
 
 
+def op2_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_quality.classify(load(spark, sf_dir, "documents"))
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(load(spark, sf_dir, "documents"))
 
@@ -47,6 +52,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_weak_label_quality": op2_weak_label_quality,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_toxicity": op5_toxicity,

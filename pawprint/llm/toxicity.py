@@ -158,7 +158,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS,
     rows = (need(docs, "doc_id", "text").join(F.broadcast(sample), "doc_id")
             .select("place", "toxic", "text").mapInArrow(
                 _feature_rows(names), "place bigint, toxic int, slots binary, counts binary"))
-    trained = rows.coalesce(1).mapInArrow(
+    trained = rows.repartition(1).mapInArrow(
         _train(epochs), "slots binary, weights binary, intercept double").collect()
     if not trained:
         return np.zeros(0, np.int32), np.zeros(0), float(np.log(

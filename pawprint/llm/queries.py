@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from pawprint.llm import (decontam, jaccard_join, line_rules, packing, pfor, secret_scan,
-                          suffix_dedup, toxicity, weak_quality)
+                          suffix_dedup, toxicity, weak_quality, wrappers)
 from pawprint.llm.common import load
 from pawprint.session import scratch_path
 
@@ -40,6 +40,10 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link_components(load(spark, sf_dir, "documents"))
 
 
+def op8_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(load(spark, sf_dir, "pages"))
+
+
 def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-ids")
     pfor.write_ids(load(spark, sf_dir, "documents"), path)
@@ -58,6 +62,7 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op6_line_frequency_rules": op6_line_frequency_rules,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_html_wrappers": op8_html_wrappers,
     "op9_token_ids": op9_token_ids,
     "op10_best_fit_packing": op10_best_fit_packing,
 }

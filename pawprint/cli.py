@@ -14,6 +14,7 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 
+# Argument names and defaults follow the reference's scripts.
 def parse_args(args_list: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="pawprint", description=__doc__)
     sub = parser.add_subparsers(dest="command", required=True)
@@ -66,8 +67,7 @@ def main(args_list: list[str] | None = None) -> None:
         feats, target = _features_and_target(spark, args.features_path, args.target_path)
         grids = None
         if args.grid == "minimal":
-            from pawprint.plans.learn_queries import MINIMAL_GRIDS
-            grids = MINIMAL_GRIDS
+            grids = search.short_search_spaces()
         metas = search.train_all(feats, target, str(args.models_dir), grids=grids,
                                  n_folds=args.n_folds)
         print(json.dumps(metas, default=str, indent=2))

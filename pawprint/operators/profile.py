@@ -127,13 +127,22 @@ def crosstab(df: DataFrame, row: str, col: str, by=None) -> DataFrame:
     return counts.withColumn("share", F.col("n") / F.sum("n").over(w))
 
 
-def crosstab_wide(df: DataFrame, row: str, col: str, labels: Sequence[str], by=None) -> DataFrame:
-    """Wide form with one share column per label (absent pairs -> 0.0)."""
+def crosstab_wide(df: DataFrame, row: str, col: str, labels: Sequence[str] | None = None,
+                  by=None) -> DataFrame:
+    """Wide form with one share column per label (absent pairs -> 0.0).
+
+    Shares are of all rows with both keys, so labels that are not listed make
+    them sum to less than one. Without ``labels`` those in the data are taken
+    (one small job; as many columns as there are labels).
+    """
     keys = _by(by)
     src = df.filter(F.col(row).isNotNull() & F.col(col).isNotNull())
-    wide = src.groupBy(*keys, row).pivot(col, list(labels)).count().na.fill(0)
-    total = sum((F.col(f"`{lab}`") for lab in labels), F.lit(0))
-    return wide.select(*keys, row, *[(F.col(f"`{lab}`") / total).alias(lab) for lab in labels])
+    if labels is None:
+        labels = [str(r[0]) for r in src.select(col).distinct().orderBy(col).collect()]
+    total = F.count(F.lit(1))
+    return src.groupBy(*keys, row).agg(
+        *[(F.count_if(F.col(col).cast("string") == F.lit(lab)) / total).alias(lab)
+          for lab in labels])
 
 
 def quantiles(df: DataFrame, col: str, probs: Sequence[float], by=None,

@@ -159,6 +159,39 @@ def features_target_check(spark, sf_dir):
     return ts_text(io.align_features_target(feats, target))
 
 
+@query("alignment_report", O.with_records("""
+SELECT sum(f)::BIGINT AS n_features, sum(t)::BIGINT AS n_target,
+       count(*) FILTER (WHERE t = 0) AS only_features, count(*) FILTER (WHERE f = 0) AS only_target,
+       count(*) FILTER (WHERE f > 1 OR t > 1) AS repeated_keys, 0::BIGINT AS without_key
+FROM (SELECT rid, sum(f) AS f, sum(t) AS t FROM (
+  SELECT rid, 1 AS f, 0 AS t FROM R UNION ALL SELECT rid, 1, 0 FROM R WHERE rid % 10 = 0
+  UNION ALL SELECT rid, 0, 1 FROM R WHERE rid % 7 <> 0) GROUP BY rid)"""))
+def alignment_report(spark, sf_dir):
+    """Features with repeated keys and a target with missing ones: reported, not joined."""
+    keys = records(spark, sf_dir).select(KEY)
+    feats = keys.unionByName(keys.filter(F.col(KEY) % 10 == 0))
+    return io.alignment_report(feats, keys.filter(F.col(KEY) % 7 != 0))
+
+
+# Texts that a CSV must quote: doubled quotes, commas, line breaks, outer blanks.
+_AWKWARD = "concat(Breed, ' \"', AnimalID, '\", line one' || chr(10) || 'line \"\"two ')"
+
+
+@query("quoted_csv_round_trip", O.with_records(
+    f"SELECT rid, {_AWKWARD} AS Breed, Name FROM R"))
+def quoted_csv_round_trip(spark, sf_dir):
+    """Quotes and line breaks inside values, through CSV and back."""
+    r = records(spark, sf_dir).select(
+        KEY, F.concat("Breed", F.lit(' "'), "AnimalID", F.lit('", line one\nline ""two '))
+        .alias("Breed"), "Name")
+    path = scratch_path(spark, "quoted-csv")
+    io.write_csv(r, path)
+    schema = T.StructType([T.StructField(KEY, T.LongType()),
+                           T.StructField("Breed", T.StringType()),
+                           T.StructField("Name", T.StringType())])
+    return io.read_raw(spark, path, "csv", schema, multiline=True)
+
+
 # ------------------------------------------------------------------ temporal
 
 @query("temporal_features", O.with_records(f"""
@@ -461,12 +494,24 @@ OUTCOMES = ("Adoption", "Euthanasia", "Transfer")
     + " FROM D WHERE AnimalType IS NOT NULL AND Reproductive_Status IS NOT NULL "
       "AND OutcomeType IS NOT NULL GROUP BY 1, 2", _EDA_SQL))
 def crosstab_wide_status(spark, sf_dir):
-    """F10 in wide form (``pivot`` with an explicit label list; absent pairs 0)."""
+    """F10 in wide form, over the labels present in the data (absent pairs 0)."""
     d = eda_table(spark, sf_dir).filter(F.col("AnimalType").isNotNull())
-    out = profile.crosstab_wide(d, "Reproductive_Status", "OutcomeType", OUTCOMES, by="AnimalType")
+    out = profile.crosstab_wide(d, "Reproductive_Status", "OutcomeType", by="AnimalType")
     return out.select("AnimalType", "Reproductive_Status", *[r6(o).alias(o) for o in OUTCOMES])
 
 
+@query("crosstab_wide_listed", O.with_records(
+    "SELECT AnimalType, Reproductive_Status, round(CAST(count(*) FILTER (WHERE OutcomeType = "
+    "'Transfer') AS DOUBLE) / count(*), 6) AS Transfer FROM D WHERE AnimalType IS NOT NULL "
+    "AND Reproductive_Status IS NOT NULL AND OutcomeType IS NOT NULL GROUP BY 1, 2", _EDA_SQL))
+def crosstab_wide_listed(spark, sf_dir):
+    """A listed label that does not cover the data: shares stay shares of all rows."""
+    d = eda_table(spark, sf_dir).filter(F.col("AnimalType").isNotNull())
+    out = profile.crosstab_wide(d, "Reproductive_Status", "OutcomeType", ("Transfer",),
+                                by="AnimalType")
+    return out.select("AnimalType", "Reproductive_Status", r6("Transfer").alias("Transfer"))
+
+
 # --------------------------------------------------------------- quantiles
 
 def _age_table(spark, sf_dir) -> DataFrame:

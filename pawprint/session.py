@@ -48,7 +48,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS, S3,
     ...); it is read from the session and never overridden. A machine-local
-    temporary folder is only used when nothing is configured (tests).
+    temporary folder is only used on a local master where nothing is
+    configured (tests); elsewhere that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -56,6 +57,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all "
+                               "executors share")
         configured = tempfile.mkdtemp(prefix="pawprint-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

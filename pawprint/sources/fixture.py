@@ -1,9 +1,9 @@
 """The shelter-record table derived from the driver tables ``events`` and ``part``.
 
 The driver tables hold no animal records, so the raw schema is derived by
-fixed rules from each event and one part. The work grows with ``events``;
-``part`` contributes at most 199 rows (keys 0..198), so broadcasting it is
-bounded by construction, not by a guess.
+fixed rules from each event and one part. The work grows with both tables: an
+event's part is a fixed permutation of its id over all part keys, and Spark
+chooses the join by the sizes it finds.
 """
 
 from __future__ import annotations
@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from pawprint.sources.io import read_table
 
-# Fixed rule parameters of the derived table.
-PART_MODULUS = 199
+# Fixed rule parameter of the derived table: a prime above any common divisor.
+STRIDE = 7919
 
 
 def _case(value: Column, mapping: dict, default=None) -> Column:
@@ -28,14 +28,12 @@ def _case(value: Column, mapping: dict, default=None) -> Column:
 def records_from(events: DataFrame, part: DataFrame) -> DataFrame:
     """Shelter records with the raw schema plus the row key ``rid``."""
     eid = F.col("event_id")
-    # (id * id) % 199 without the bigint overflow of id * id on huge ids:
-    # (a * a) mod m == ((a mod m) * (a mod m)) mod m for a >= 0.
-    r = eid % PART_MODULUS
-    part_key = (r * r) % PART_MODULUS
-    parts = (part.filter(F.col("p_partkey") < PART_MODULUS)
-             .select("p_partkey", "p_name", "p_type", "p_size"))
+    # Reduced before it is multiplied: no bigint overflow on huge ids.
+    n_parts = F.lit(max(1, part.count()))
+    part_key = ((eid % n_parts) * STRIDE) % n_parts
+    parts = part.select("p_partkey", "p_name", "p_type", "p_size")
     ev = events.select("event_id", "ts", "user_id", "event_type").withColumn("_pk", part_key)
-    joined = ev.join(F.broadcast(parts), F.col("_pk") == F.col("p_partkey"), "inner")
+    joined = ev.join(parts, F.col("_pk") == F.col("p_partkey"), "inner")
 
     name = (F.when(eid % 7 == 0, F.lit(None).cast("string"))
             .when(eid % 11 == 0, F.lit("Unknown"))
@@ -102,5 +100,6 @@ SELECT
   p.p_name || CASE p.p_partkey % 3 WHEN 0 THEN ' Mix' WHEN 1 THEN '/' || p.p_type ELSE '' END
     AS Breed,
   p.p_type || CASE WHEN p.p_size % 2 = 0 THEN '/White' ELSE '' END AS Color
-FROM events e JOIN part p ON p.p_partkey = (e.event_id * e.event_id) % 199
+FROM events e JOIN part p ON p.p_partkey =
+  ((e.event_id % (SELECT count(*) FROM part)) * 7919) % (SELECT count(*) FROM part)
 """

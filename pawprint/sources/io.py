@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,41 +30,48 @@ def null_na_tokens(df: DataFrame, tokens: Sequence[str] = NA_TOKENS) -> DataFram
 
 
 def read_raw(spark: SparkSession, path: str, fmt: str = "csv",
-             schema: T.StructType | None = RAW_SCHEMA) -> DataFrame:
+             schema: T.StructType | None = RAW_SCHEMA, multiline: bool = False) -> DataFrame:
     """Read the raw record file (CSV with header, or parquet).
 
     CSV: the header line names the columns (a one-line read, no inference
     pass over the data); known columns get their declared type, others are
-    strings. Whitespace is kept as is and the NA tokens become null. A column
-    absent from the file stays absent (so a missing target is detected).
+    strings. Whitespace is kept as is, doubled quotes inside quotes are one
+    quote, and the NA tokens become null (CSV only: parquet has real nulls).
+    ``multiline`` is for files with line breaks inside quotes, which Spark
+    cannot split into tasks. A column absent from the file stays absent (so a
+    missing target is detected).
     """
     if fmt == "csv":
-        reader = spark.read.option("header", True).option("mode", "FAILFAST")
+        reader = (spark.read.option("header", True).option("mode", "FAILFAST")
+                  .option("escape", '"').option("multiLine", multiline))
         if schema is not None:
             header = reader.csv(path).columns
             known = {f.name: f for f in schema.fields}
             schema = T.StructType([known.get(c, T.StructField(c, T.StringType()))
                                    for c in header])
             reader = reader.schema(schema)
-        df = reader.csv(path)
-    elif fmt == "parquet":
-        df = spark.read.parquet(path)
-    else:
-        raise ValueError(f"unsupported format {fmt!r}")
-    return null_na_tokens(df)
+        return null_na_tokens(reader.csv(path))
+    if fmt == "parquet":
+        return spark.read.parquet(path)
+    raise ValueError(f"unsupported format {fmt!r}")
 
 
 def with_row_key(df: DataFrame, key: str = KEY, from_col: str | None = None) -> DataFrame:
-    """Attach a row key. Use an existing id column when there is one.
+    """Attach a row key: an existing id column, or a hash of the row's values.
 
-    ``monotonically_increasing_id`` is stable for the same input splits; it is
-    only the fallback for files that carry no id.
+    The hash does not depend on how the file is laid out. Equal rows get
+    different keys by their number among their equals, which of them gets
+    which being all the same.
     """
     if key in df.columns:
         return df
     if from_col is not None:
         return df.withColumn(key, F.col(from_col))
-    return df.withColumn(key, F.monotonically_increasing_id())
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    again = Window.partitionBy("_h").orderBy("_h")
+    return (df.withColumn("_h", whole).withColumn("_k", F.row_number().over(again))
+            .withColumn(key, F.when(F.col("_k") == 1, F.col("_h"))
+                        .otherwise(F.xxhash64("_h", "_k"))).drop("_h", "_k"))
 
 
 def require_columns(df: DataFrame, cols: Iterable[str], what: str = "input file") -> None:
@@ -74,26 +81,38 @@ def require_columns(df: DataFrame, cols: Iterable[str], what: str = "input file"
             raise KeyError(f"Target column '{c}' missing from {what}.")
 
 
-def align_features_target(features: DataFrame, target: DataFrame, key: str = KEY,
-                          target_col: str = TARGET) -> DataFrame:
-    """Pair features with targets by key; ``ValueError`` when they are misaligned.
+def alignment_report(features: DataFrame, target: DataFrame, key: str = KEY) -> DataFrame:
+    """One row: rows on either side, keys on one side only, keys that occur
+    more than once on a side, and rows without a key.
 
-    One full-outer join on the key, aggregated once: row counts and keys
-    present on one side only are found in the same job. The returned table is
-    the inner join (lazy), one row per key.
+    Counted per key on each side before any join, in one shuffle.
     """
-    f = features.select(F.col(key), F.lit(1).alias("_f"))
-    t = target.select(F.col(key), F.lit(1).alias("_t"))
-    stats = (f.join(t, key, "full")
-             .agg(F.count("_f").alias("n_features"), F.count("_t").alias("n_target"),
-                  F.count_if(F.col("_f").isNull()).alias("only_target"),
-                  F.count_if(F.col("_t").isNull()).alias("only_features"))
-             .first())
-    if stats["n_features"] != stats["n_target"] or stats["only_target"] or stats["only_features"]:
+    side = lambda df, f, t: df.select(
+        F.col(key), F.lit(f).alias("_f"), F.lit(t).alias("_t"))
+    per_key = (side(features, 1, 0).unionByName(side(target, 0, 1)).groupBy(key)
+               .agg(F.sum("_f").alias("_f"), F.sum("_t").alias("_t")))
+    null, f, t = F.col(key).isNull(), F.col("_f"), F.col("_t")
+    big = lambda c: F.coalesce(c, F.lit(0)).cast("bigint")
+    return per_key.agg(
+        big(F.sum(f)).alias("n_features"), big(F.sum(t)).alias("n_target"),
+        big(F.count_if(~null & (t == 0))).alias("only_features"),
+        big(F.count_if(~null & (f == 0))).alias("only_target"),
+        big(F.count_if(~null & ((f > 1) | (t > 1)))).alias("repeated_keys"),
+        big(F.sum(F.when(null, f + t))).alias("without_key"))
+
+
+def align_features_target(features: DataFrame, target: DataFrame, key: str = KEY,
+                          target_col: str = TARGET) -> DataFrame:
+    """Pair features with targets by key; ``ValueError`` unless every key occurs
+    exactly once on both sides. The returned table is the inner join (lazy)."""
+    r = alignment_report(features, target, key).first()
+    if r["n_features"] != r["n_target"] or r["only_target"] or r["only_features"] \
+            or r["repeated_keys"] or r["without_key"]:
         raise ValueError(
-            f"Features ({stats['n_features']} rows) and target ({stats['n_target']} rows) "
-            f"are misaligned ({stats['only_features']} keys only in features, "
-            f"{stats['only_target']} only in target).")
+            f"Features ({r['n_features']} rows) and target ({r['n_target']} rows) "
+            f"are misaligned ({r['only_features']} keys only in features, "
+            f"{r['only_target']} only in target, {r['repeated_keys']} repeated, "
+            f"{r['without_key']} rows without a key).")
     return features.join(target.select(key, target_col), key, "inner")
 
 
@@ -109,7 +128,7 @@ def write_csv(df: DataFrame, out: str, mode: str = "overwrite") -> None:
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
      .option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSSXXX")
-     .option("emptyValue", "").csv(out))
+     .option("escape", '"').option("emptyValue", "").csv(out))
 
 
 def write_four_way_csv(df: DataFrame, out_dir: str, key: str = KEY, split_col: str = "split",

@@ -3,9 +3,11 @@
 The preparation stages are projections (plus a stream-static join when a
 rare-category list is large), so they run on streaming DataFrames directly.
 The classifier step runs per micro-batch through ``foreachBatch`` because
-the k-NN classifier joins against its training table with windows. Output
-goes to a parquet sink; progress and exactly-once bookkeeping live in a
-checkpoint under the shared ``spark.checkpoint.dir``.
+the k-NN classifier joins against its training table with windows. Every
+micro-batch writes its own folder ``batch_id=N`` of the parquet sink and
+replaces it when it is tried again, so a retry leaves no row twice. The
+checkpoint is named by the caller: a restart with the same one goes on where
+the last run ended.
 """
 
 from __future__ import annotations
@@ -14,7 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from pawprint.plans.chain import ChainModel
-from pawprint.session import scratch_path
 from pawprint.sources.schema import KEY
 
 
@@ -25,14 +26,11 @@ def score_batch(model: ChainModel, batch: DataFrame, keep=(KEY,)) -> DataFrame:
 
 
 def start_scoring(stream: DataFrame, model: ChainModel, sink_path: str,
-                  checkpoint: str | None = None, trigger_once: bool = False,
-                  keep=(KEY,)) -> StreamingQuery:
-    """Start a query that appends ``(key, prediction, proba)`` rows to ``sink_path``."""
-    spark = stream.sparkSession
-    checkpoint = checkpoint or scratch_path(spark, "scoring-stream")
-
+                  checkpoint: str, trigger_once: bool = False, keep=(KEY,)) -> StreamingQuery:
+    """Start a query that adds ``(key, prediction, proba)`` rows to ``sink_path``."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        score_batch(model, batch, keep).write.mode("append").parquet(sink_path)
+        (score_batch(model, batch, keep).write.mode("overwrite")
+         .parquet(f"{sink_path.rstrip('/')}/batch_id={batch_id}"))
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if trigger_once:

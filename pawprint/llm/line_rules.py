@@ -2,11 +2,11 @@
 
 Base rules look at one document: words, symbols, repeated lines and repeated
 three-word windows. The method then looks across documents: every line that
-has a word is normalised (case, digits and white space) and hashed, and per
+has a word is normalised (digits, no white space) and hashed, and per
 host the different texts that hold it are counted. Lines held by more than
 ``MAX_TEXTS`` texts and more than ``MAX_SHARE`` of the host's texts are
-removed, and a document that loses more than ``DEPLETED`` of its words is
-rejected.
+removed, and a document that loses more than ``DEPLETED`` of the characters
+in its words is rejected.
 
 Copies of one text count once, so a text is not rejected for being copied.
 Nulls and empty texts have no words and fail the base rules; a null host is a
@@ -26,14 +26,13 @@ MAX_SHARE = 0.01
 DEPLETED = 0.5
 MIN_WORDS = 50
 SYMBOLS = "#*$%&|<>"
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-_BLANKS = "\t\n\x0b\x0c\r"
+#: White space, as the inside of a regular expression's class.
+_BLANKS = r"\x20\x09-\x0D"
 
 
 def _plain(text):
     """``text`` with single blanks between its words and none around."""
-    spaced = F.translate(text, _BLANKS, " " * len(_BLANKS))
-    return F.trim(F.regexp_replace(spaced, " {2,}", " "))
+    return F.trim(F.regexp_replace(text, f"[{_BLANKS}]+", " "))
 
 
 def _words(plain):
@@ -60,19 +59,19 @@ def base_columns(docs: DataFrame) -> DataFrame:
     df = docs.withColumn("plain", _plain(text)).withColumn("words", _words(F.col("plain")))
     df = df.withColumn("windows", _repeat_words(F.col("words")))
     repeats = F.size(F.array_distinct("windows")) < F.size("windows")
-    places = F.array_sort(F.transform("windows", lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+    places = F.sort_array(F.transform("windows", lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
     df = df.withColumn("ranked", F.when(repeats, places))
     again = F.filter(F.transform("ranked", lambda s, k: F.when(
         (F.get("ranked", k + 1)["h"] == s["h"]) | (F.get("ranked", k - 1)["h"] == s["h"]),
         s["i"])), lambda i: i.isNotNull())
     covered = F.size(F.array_distinct(F.flatten(F.transform(
         again, lambda i: F.array(i, i + 1, i + 2)))))
-    lines = F.filter(F.split(text, "\n"), lambda x: F.translate(x, _BLANKS + " ", "") != "")
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(f"[^{_BLANKS}]"))
     df = df.withColumn("lines", lines)
     return (df.withColumn("n_words", F.size("words").cast("long"))
             .withColumn("word_chars", F.length(F.replace("plain", F.lit(" "), F.lit("")))
                         .cast("long"))
-            .withColumn("n_symbols", (F.length(text) - F.length(F.translate(text, SYMBOLS, "")))
+            .withColumn("n_symbols", F.length(F.regexp_replace(text, f"[^{SYMBOLS}]+", ""))
                         .cast("long"))
             .withColumn("n_dup_lines", (F.size("lines") - F.size(F.array_distinct("lines")))
                         .cast("long"))
@@ -82,32 +81,30 @@ def base_columns(docs: DataFrame) -> DataFrame:
             .drop("plain", "words", "windows", "ranked", "lines"))
 
 
-def normal_line(line):
-    """A line for comparison: A-Z as a-z, numbers as 0, single blanks."""
-    return F.regexp_replace(_plain(F.translate(line, _UPPER, _UPPER.lower())), "[0-9]+", "0")
-
-
 def document_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, host, text hash, line hash and words of every line that has a word."""
+    """doc_id, host, text hash, line hash and size of every line that has a word.
+
+    Lines are compared without white space and with digits as 0; the size is
+    in characters of that form.
+    """
     text = F.coalesce("text", F.lit(""))
+    plain = F.regexp_replace(F.regexp_replace(text, r"[\x09\x0B-\x0D\x20]+", ""), "[0-9]", "0")
     return (docs.select("doc_id", "host", F.xxhash64(text).alias("text_hash"),
-                        F.explode(F.split(text, "\n")).alias("line"))
-            .withColumn("line", normal_line(F.col("line"))).filter("line <> ''")
+                        F.explode(F.split(plain, "\n")).alias("line")).filter("line <> ''")
             .select("doc_id", "host", "text_hash", F.xxhash64("line").alias("line_hash"),
-                    (F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1)
-                    .cast("long").alias("n")))
+                    F.length("line").cast("long").alias("n")))
 
 
-def common_lines(lines: DataFrame, max_texts: int = MAX_TEXTS,
+def common_lines(lines: DataFrame, texts: DataFrame, max_texts: int = MAX_TEXTS,
                  max_share: float = MAX_SHARE) -> DataFrame:
-    """host, line_hash of the lines above the limits.
+    """host, line_hash of the lines above the limits. ``texts``: host and hash of
+    every text with a word.
 
     Texts are counted once per line by partial aggregates; hot hosts and hot
     lines shrink before they are shuffled."""
     held = lines.groupBy("host", "line_hash", "text_hash").agg(F.lit(1).alias("one"))
     per_line = held.groupBy("host", "line_hash").agg(F.count(F.lit(1)).alias("texts"))
-    per_host = (lines.select("host", "text_hash").distinct().groupBy("host")
-                .agg(F.count(F.lit(1)).alias("host_texts"))
+    per_host = (texts.distinct().groupBy("host").agg(F.count(F.lit(1)).alias("host_texts"))
                 .withColumnRenamed("host", "of"))
     return (per_line.filter(F.col("texts") > max_texts)
             .join(per_host, F.col("host").eqNullSafe(F.col("of")))
@@ -117,12 +114,14 @@ def common_lines(lines: DataFrame, max_texts: int = MAX_TEXTS,
 
 def quality(docs: DataFrame, host: str = "source", max_texts: int = MAX_TEXTS,
             max_share: float = MAX_SHARE, depleted: float = DEPLETED) -> DataFrame:
-    """The base counts, base_failed, words in removed lines, and ``kept``, per row."""
+    """The base counts, base_failed, characters in removed lines, and ``kept``, per row."""
     docs = need(docs, "doc_id", "text", host).withColumnRenamed(host, "host")
     lines = document_lines(docs)
-    common = common_lines(lines, max_texts, max_share).select(
+    text = F.coalesce("text", F.lit(""))
+    texts = (docs.filter(text.rlike(f"[^{_BLANKS}]"))
+             .select("host", F.xxhash64(text).alias("text_hash")))
+    common = common_lines(lines, texts, max_texts, max_share).select(
         F.col("host").alias("h"), F.col("line_hash").alias("l"))
-    # Lines of a document in one row per hash before they are joined.
     lost = (lines.join(common, F.col("host").eqNullSafe(F.col("h")) &
                        (F.col("line_hash") == F.col("l")), "left_semi")
             .groupBy("doc_id").agg(F.sum("n").alias("removed"))
@@ -135,8 +134,8 @@ def quality(docs: DataFrame, host: str = "source", max_texts: int = MAX_TEXTS,
             .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                     "n_repeat_words", "base_failed",
                     (~F.col("base_failed") & (F.coalesce("removed", F.lit(0.0))
-                                              <= depleted * F.col("n_words"))).alias("kept"),
-                    F.coalesce("removed", F.lit(0.0)).alias("n_removed_words")))
+                                              <= depleted * F.col("word_chars"))).alias("kept"),
+                    F.coalesce("removed", F.lit(0.0)).alias("removed_chars")))
 
 
 ORACLE = rf"""
@@ -148,25 +147,25 @@ rep AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT win.rid, unnest(range(i,
         FROM win JOIN (SELECT rid, k FROM win GROUP BY ALL HAVING count(*) > 1) g
           ON g.rid = win.rid AND g.k = win.k) GROUP BY rid),
 raw AS (SELECT rid, doc_id, source, t, unnest(string_split(t, chr(10))) AS line FROM d),
-ln AS (SELECT rid, doc_id, source, t, line, regexp_replace(trim(regexp_replace(translate(line,
-         '{_UPPER}', '{_UPPER.lower()}'), '[\x20\x09-\x0D]+', ' ', 'g')), '[0-9]+', '0', 'g') AS nl
+ln AS (SELECT rid, doc_id, source, t, line, regexp_replace(regexp_replace(line,
+         '[\x20\x09-\x0D]+', '', 'g'), '[0-9]', '0', 'g') AS nl
        FROM raw WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 dup AS (SELECT rid, count(*) - count(DISTINCT line) AS n FROM ln GROUP BY rid),
 per AS (SELECT source, nl, count(DISTINCT t) AS texts FROM ln GROUP BY ALL),
 host AS (SELECT source, count(DISTINCT t) AS texts FROM ln GROUP BY source),
 com AS (SELECT per.source, nl FROM per JOIN host ON per.source IS NOT DISTINCT FROM host.source
         WHERE per.texts > {MAX_TEXTS} AND per.texts > {MAX_SHARE} * host.texts),
-lost AS (SELECT rid, sum(len(string_split(ln.nl, ' ')))::DOUBLE AS n FROM ln JOIN com
+lost AS (SELECT rid, sum(length(ln.nl))::DOUBLE AS n FROM ln JOIN com
          ON com.nl = ln.nl AND com.source IS NOT DISTINCT FROM ln.source GROUP BY rid),
 b AS (SELECT rid, doc_id, len(w)::BIGINT AS n_words,
         length(array_to_string(w, ''))::BIGINT AS word_chars,
         (length(t) - length(translate(t, '{SYMBOLS}', '')))::BIGINT AS n_symbols,
         coalesce(dup.n, 0)::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words,
-        coalesce(lost.n, 0) AS n_removed_words
+        coalesce(lost.n, 0) AS removed_chars
       FROM d LEFT JOIN dup USING (rid) LEFT JOIN rep USING (rid) LEFT JOIN lost USING (rid))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
        NOT (n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words)
-         AND n_removed_words <= {DEPLETED} * n_words AS kept, n_removed_words
+         AND removed_chars <= {DEPLETED} * word_chars AS kept, removed_chars
 FROM b
 """

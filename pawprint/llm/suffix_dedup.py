@@ -36,7 +36,7 @@ from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pawprint.llm.common import (byte_table, mix, need, offsets_of, partitions, powers, slices,
@@ -45,7 +45,7 @@ from pawprint.llm.common import (byte_table, mix, need, offsets_of, partitions,
 LENGTH = 100
 GRAM = 32
 #: Occurrences (over all runs) from which an anchor takes the digest path.
-HOT = 20_000
+HOT = 2_000
 #: Documents whose anchors choose the splitters of the ranges; only the
 #: balance of the ranges depends on them.
 SPLITTER_DOCS = 2000
@@ -272,14 +272,14 @@ def _run_rows(splitters: list[bytes], names: list[str]):
         from pyspark import TaskContext
         press = zstandard.ZstdCompressor(level=1).compress
         beside = -1 - TaskContext.get().partitionId() % (len(splitters) + 1)
-        for part in _opened(batches, 4 << 20):
+        for part in _opened(batches, 2 << 20):
             kind = part.schema.field("doc_id").type
             found = _segments(part)
             found.sort()
             ids, marks = part.column("doc_id").to_pylist(), part.column("mark").to_pylist()
             spans: dict[int, list[int]] = {}
             blocks: dict[int, list] = {}
-            digests, last = [], None
+            digests, last = {}, None
             for key, left, order, r, hot in found:
                 start = order[2] - len(left)
                 if last == (key, left):
@@ -289,8 +289,12 @@ def _run_rows(splitters: list[bytes], names: list[str]):
                 if hot:
                     text = left + key
                     for j in range(len(text) - LENGTH + 1):
-                        digests.append((r, start + j, hashlib.blake2b(
-                            text[j:j + LENGTH], digest_size=16).digest()))
+                        name = hashlib.blake2b(text[j:j + LENGTH], digest_size=16).digest()
+                        here = (order[0], order[1], start + j, r)
+                        if name in digests:  # only the earliest of a run goes on
+                            here, late = sorted((here, digests[name]))
+                            spans.setdefault(late[3], []).extend((late[2], late[2] + LENGTH))
+                        digests[name] = here
                 else:
                     blocks.setdefault(bisect_right(splitters, key), []).append(
                         (key, left, r, order[2]))
@@ -309,9 +313,10 @@ def _run_rows(splitters: list[bytes], names: list[str]):
                             np.concatenate([*spans.values()]).astype("<u4").tobytes(),
                             b"", b"", b"", b""))
             if digests:
-                out.append((beside, [ids[d[0]] for d in digests], [marks[d[0]] for d in digests],
-                            b"", b"", b"".join([d[2] for d in digests]), b"", b"", b"",
-                            np.array([d[1] for d in digests], "<u4").tobytes()))
+                first = list(digests.values())
+                out.append((beside, [ids[d[3]] for d in first], [marks[d[3]] for d in first],
+                            b"", b"", b"".join(digests), b"", b"", b"",
+                            np.array([d[2] for d in first], "<u4").tobytes()))
             for lo in range(0, len(out), 64):
                 cols = list(zip(*out[lo:lo + 64]))
                 yield pa.RecordBatch.from_arrays(
@@ -481,7 +486,7 @@ def _splitters(wanted: DataFrame, n_ranges: int) -> list[bytes]:
            .select("doc_id", "mark", "z", "some", "many").limit(4 * SPLITTER_DOCS))
 
     def run(batches):
-        for part in _opened(batches, 4 << 20):
+        for part in _opened(batches, 2 << 20):
             keys = sorted({s[0][:GRAM] for s in _segments(part)})
             if keys:
                 yield pa.RecordBatch.from_arrays([pa.array(
@@ -495,7 +500,7 @@ def _splitters(wanted: DataFrame, n_ranges: int) -> list[bytes]:
 
 def _removed_rows(names: list[str]):
     def run(batches):
-        for part in _opened(batches, 4 << 20):
+        for part in _opened(batches, 2 << 20):
             spans = part.column("spans").to_pylist()
             texts = part.column("text").to_pylist()
             cut, runs, shas, ends = [], [], [], []
@@ -555,9 +560,9 @@ def find_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
         f"doc_id {kind}, mark bigint, spans array<bigint>, digest binary"), "found")
     windows = found.filter("digest IS NOT NULL").select(
         *key, F.get("spans", F.lit(0)).alias("start"), "digest")
-    spot = F.struct(*key, "start")
-    first = windows.groupBy("digest").agg(F.min(spot).alias("first"))
-    late = (windows.join(first, "digest").filter(~spot.eqNullSafe(F.col("first")))
+    # A run reports a window once, so a digest has at most as many rows as there are runs.
+    order = Window.partitionBy("digest").orderBy(*key, "start")
+    late = (windows.withColumn("k", F.row_number().over(order)).filter("k > 1")
             .select(*key, F.array("start", F.col("start") + LENGTH).alias("spans")))
     spans = (found.filter("digest IS NULL").select(*key, "spans").unionByName(late)
              .groupBy(*key).agg(F.collect_list("spans").alias("spans"))

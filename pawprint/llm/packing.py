@@ -108,6 +108,7 @@ def _cut_rows(vocabulary: str, capacity: int, end_id: int, names: list[str]):
             yield pa.RecordBatch.from_arrays([
                 part.column("doc_id").take(pa.array(row)), pa.array(piece.astype(np.int32)),
                 pa.array(start), pa.array(length), pa.array(crc, pa.int64())], names=names)
+        encoder(vocabulary).rest()
     return run
 
 

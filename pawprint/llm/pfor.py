@@ -79,6 +79,7 @@ def _write_rows(vocabulary: str, end_id: int, block: int, percentile: float, nam
                 pa.array([sizes[:-1]], pa.list_(pa.int64())),
                 pa.array([b"".join(blocks)], pa.binary())], names=names)
             chunk += 1
+        encoder(vocabulary).rest()
     return run
 
 

@@ -11,8 +11,8 @@ from pawprint.llm.common import SPACE, word_hashes
 
 #: Distinct words (about 40 bytes each) and pre-tokens (200 bytes each) whose
 #: ids a worker keeps; a full cache starts anew.
-CACHE_WORDS = 3_000_000
-PIECES = 400_000
+CACHE_WORDS = 1_000_000
+PIECES = 200_000
 
 #: How the vocabulary cuts a word into pre-tokens, and the
 #: printable stand-ins of the bytes that are not printable themselves.
@@ -177,6 +177,10 @@ class WordEncoder:
         per_row = np.bincount(row, weights=lens, minlength=n_rows).astype(np.int64)
         return ids, np.concatenate([[0], np.cumsum(per_row)])
 
+    def rest(self) -> None:
+        """Drop what the next task can do without; words stay."""
+        self.pieces = {}
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         raw = [t.encode() for t in texts]

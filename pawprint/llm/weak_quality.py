@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from pawprint.llm.common import SPACE, need, offsets_of, shingles, slices, word_hashes, word_spans
 
 TRAIN_DOCS = 6_000
+#: Bytes of text judged at once: about 150 bytes of memory for each.
+STEP = 1 << 20
 #: Documents whose score (probability of good) is below this are rejected.
 THRESHOLD = 0.5
 NONE, BAD, GOOD = 0, 1, 2
@@ -198,7 +200,7 @@ def bucket_slots(m: dict[str, np.ndarray]) -> np.ndarray:
 def _pattern_rows(names: list[str]):
     def run(batches):
         total = np.zeros(3 ** len(LABELLERS), np.int64)
-        for part in slices(batches):
+        for part in slices(batches, step=STEP):
             v = votes(measures(*offsets_of(part.column("text"))))
             total += np.bincount(pattern_of(v), minlength=len(total))
         used = np.flatnonzero(total)
@@ -210,7 +212,7 @@ def _pattern_rows(names: list[str]):
 def _train_rows(names: list[str]):
     """Per document its pattern and shape frequencies (in 1/65535)."""
     def run(batches):
-        for part in slices(batches):
+        for part in slices(batches, step=STEP):
             offs, data = offsets_of(part.column("text"))
             m = measures(offs, data)
             slot, row = shape_slots(offs, data)
@@ -304,7 +306,7 @@ def _judge(model, part: pa.RecordBatch):
 
 def _score_rows(shared, names: list[str], threshold: float):
     def run(batches):
-        for part in slices(batches):
+        for part in slices(batches, step=STEP):
             weak, score = _judge(shared.value, part)
             yield pa.RecordBatch.from_arrays([
                 part.column("doc_id"), pa.array(weak, pa.float64()), pa.array(score),
@@ -324,7 +326,7 @@ def classify(docs: DataFrame, model=None, threshold: float = THRESHOLD) -> DataF
 
 def _keep_rows(shared, threshold: float):
     def run(batches):
-        for part in slices(batches):
+        for part in slices(batches, step=STEP):
             yield part.filter(pa.array(_judge(shared.value, part)[1] >= threshold))
     return run
 

@@ -3,10 +3,13 @@
 Every partition packs its own pieces by best-fit decreasing. Lower bounds
 from dual-feasible functions tell how many sequences its pieces need at
 least; a partition whose sequence count equals the bound is certified. The
-loosely filled sequences of partitions with a gap (against the bound, or
-against the fractional bound that partitions would reach together) give
-their pieces to an exchange, where larger groups run best-fit decreasing
-again, for a few rounds.
+bound over all pieces tells whether that is enough: where the partitions'
+bounds add up to it, certified partitions are finished and only those with a
+gap exchange pieces, else all do. The sequences with free room of those that
+exchange (first the loose ones, then all, then also full ones of
+small pieces) are unpacked, and larger groups run
+best-fit decreasing again, until the bound is reached or the gap falls no more.
+The sequences and bounds that are returned are those of the final packing.
 
 Null and empty texts are one piece that holds the end id; repeated rows are
 packed once each; ties are broken by place in the sorted order; an empty
@@ -28,9 +31,12 @@ from pawprint.llm.tokens import default_vocabulary, encoder
 
 #: Pieces that one exchange group packs (about 50 bytes each).
 GROUP_PIECES = 50_000
-#: A sequence whose free share is larger gives up its pieces.
+#: A sequence whose free share is larger gives up its pieces first.
 LOOSE = 0.02
+#: Rounds without a gain after which an exchange ends.
 ROUNDS = 3
+#: Fixed value: the packings that a sequence's id can name.
+TURNS = 31
 
 
 def lower_bound(sizes: np.ndarray, capacity: int) -> int:
@@ -39,18 +45,21 @@ def lower_bound(sizes: np.ndarray, capacity: int) -> int:
     Two families: rounding ``u_k`` (x stays if (k+1)x is whole, else
     floor((k+1)x)/k) and thresholds (x > 1-e counts 1, x < e counts 0).
     """
-    if not len(sizes):
-        return 0
-    best = -(-int(sizes.sum()) // capacity)
+    return bound_of_counts(np.bincount(sizes, minlength=capacity + 1), capacity)
+
+
+def bound_of_counts(counts: np.ndarray, capacity: int) -> int:
+    """``lower_bound`` of ``counts[x]`` pieces of every size x."""
+    counts = counts.astype(np.int64)
+    sizes = np.arange(capacity + 1)
+    mass = np.cumsum(counts * sizes)
+    number = np.cumsum(counts)
+    best = -(-int(mass[-1]) // capacity)
     for k in range(1, 21):
-        scaled = sizes.astype(np.int64) * (k + 1)
-        whole = scaled % capacity == 0
+        scaled = sizes * (k + 1)
         # k * capacity * f(x) in whole numbers.
-        value = np.where(whole, sizes.astype(np.int64) * k, (scaled // capacity) * capacity)
-        best = max(best, -(-int(value.sum()) // (k * capacity)))
-    counts = np.bincount(sizes, minlength=capacity + 1).astype(np.int64)
-    mass = np.cumsum(counts * np.arange(capacity + 1))
-    number = np.cumsum(counts)
+        value = np.where(scaled % capacity == 0, sizes * k, (scaled // capacity) * capacity)
+        best = max(best, -(-int((value * counts).sum()) // (k * capacity)))
     for e in np.flatnonzero(counts[:capacity // 2 + 1]).tolist():
         if e:
             large = int(number[-1] - number[capacity - e])
@@ -146,36 +155,137 @@ def _pack_rows(capacity: int, turn: int, names: list[str]):
     return run
 
 
+def _part():
+    """Names the partition and turn that packed a sequence."""
+    return F.shiftright("sequence_id", 28)
+
+
+def _standing(packed: DataFrame, room: int):
+    """Sequences and bounds of all partitions, and pieces and sequences with more than
+    ``room`` free: of all, and of the partitions with a gap."""
+    first, free = (F.col("offset") == 0).cast("long"), (F.col("free") > room).cast("long")
+    gap = F.col("s") > F.col("b")
+    return (packed.groupBy(_part().alias("part"))
+            .agg(F.max("part_sequences").alias("s"), F.max("part_bound").alias("b"),
+                 F.sum(first).alias("n"), F.sum(free).alias("pieces"),
+                 F.sum(free * first).alias("open"))
+            .agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in (
+                F.col("n"), F.col("b"), F.col("pieces"), F.col("open"),
+                F.when(gap, F.col("pieces")), F.when(gap, F.col("open")))]).first())
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for more in frames[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def _sequences(frames: list[DataFrame]) -> int:
+    return _union(frames).filter("offset = 0").count() if frames else 0
+
+
+def _with_full(packed: DataFrame, gap: int) -> DataFrame:
+    """``packed`` where the ``gap`` full sequences of the smallest pieces (and their equals)
+    count as open, as far as their pieces fit into the largest free room."""
+    each = packed.groupBy("sequence_id").agg(F.max("length").alias("m"), F.max("free").alias("f"))
+    most = each.agg(F.max("f")).first()[0] or 0
+    full = each.filter((F.col("f") == 0) & (F.col("m") <= most))
+    limit, n = -1, 0
+    for m, count in sorted(full.groupBy("m").count().collect()):
+        if n < gap:
+            limit, n = m, n + count
+    chosen = full.filter(F.col("m") <= limit).select("sequence_id")
+    return stored(packed.join(chosen, "sequence_id", "left_anti").unionByName(
+        packed.join(chosen, "sequence_id", "left_semi").withColumn("free", F.lit(1).cast("long"))),
+        "open")
+
+
+def global_bound(pieces: DataFrame, capacity: int) -> int:
+    """The bound over all pieces, from the number of pieces of every length."""
+    counts = np.zeros(capacity + 1, np.int64)
+    for length, n in pieces.groupBy("length").count().collect():
+        counts[length] = n
+    return bound_of_counts(counts, capacity)
+
+
+def _certify_rows(capacity: int, names: list[str]):
+    def run(key, table):
+        counts = np.zeros(capacity + 1, np.int64)
+        counts[table.column("length").to_numpy()] = table.column("n").to_numpy()
+        return pa.table([pa.array([v], pa.int64()) for v in (
+            key[0].as_py(), int(table.column("firsts").to_numpy().sum()),
+            bound_of_counts(counts, capacity))], names=names)
+    return run
+
+
+def certified(packed: DataFrame, capacity: int) -> DataFrame:
+    """part, part_sequences, part_bound of the sequences that each partition's packing has
+    in ``packed`` (length, sequence_id, offset)."""
+    return (packed.groupBy(_part().alias("part"), "length")
+            .agg(F.count(F.lit(1)).alias("n"),
+                 F.sum((F.col("offset") == 0).cast("long")).alias("firsts"))
+            .groupBy("part").applyInArrow(
+                _certify_rows(capacity, ["part", "part_sequences", "part_bound"]),
+                "part bigint, part_sequences bigint, part_bound bigint"))
+
+
 def pack(pieces: DataFrame, capacity: int = 4096, rounds: int = ROUNDS,
          group: int = GROUP_PIECES, loose: float = LOOSE) -> DataFrame:
     """``pieces`` (doc_id, piece, start, length, ids_crc32) with sequence_id and
-    offset, and per partition that packed them the number of sequences and its bound."""
+    offset, and per partition that packed them the number of its sequences and their bound."""
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
     pieces = need(pieces, *names)
     schema = pieces.schema.simpleString()[7:-1] + (
         ", sequence_id bigint, offset bigint, free bigint, part_sequences bigint, "
         "part_bound bigint")
+    goal = global_bound(pieces, capacity)
+
+    def packing(pool, turn):
+        return stored(pool.mapInArrow(_pack_rows(capacity, turn, names), schema), f"pack{turn}")
+
+    # done: finished; aside: not loose, but with room for a later round.
+    done, aside, n_done, turn, failed = [], [], 0, 1, 0
+    last_gap = float("inf")
     room = int(capacity * loose)
-    done, pool, turn = [], pieces, 0
+    packed = packing(pieces, 0)
     while True:
-        packed = stored(pool.mapInArrow(_pack_rows(capacity, turn, names), schema), f"pack{turn}")
-        turn += 1
-        n_loose, n_before = packed.agg(
-            F.sum((F.col("free") > room).cast("long")),
-            F.countDistinct(F.when(F.col("free") > room, F.col("sequence_id")))).first()
-        if turn > rounds or not n_loose or n_before < 2:
-            done.append(packed)
+        n, bounds, n_pieces, n_open, gap_pieces, gap_open = _standing(packed, room)
+        if n_done + n <= goal or turn > TURNS:
             break
-        done.append(packed.filter(F.col("free") <= room))
-        # Fewer, larger groups every round; the last round meets the rest in
-        # groups of ``group`` pieces, never in one task.
-        n = max(1, -(-n_loose // group))
-        pool = (packed.filter(F.col("free") > room).select(*names)
-                .repartition(n, F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(turn))))
-    out = done[0]
-    for more in done[1:]:
-        out = out.unionByName(more)
-    return out.drop("free")
+        gives = F.lit(True)
+        if n_done + bounds <= goal and not aside:
+            gives, n_pieces, n_open = F.expr("part_sequences > part_bound"), gap_pieces, gap_open
+        if n_open < 2 or failed >= rounds:
+            gap = n_done + n - goal
+            if room:  # next, every sequence with any room
+                packed = _union([packed, *aside])
+            elif gap < last_gap:  # next, also full sequences of pieces that fit into rooms
+                packed, last_gap = _with_full(_union([packed, *aside, *done]), gap), gap
+                done = []
+            else:
+                break
+            aside, n_done, room, failed = [], _sequences(done), 0, 0
+            continue
+        pool = packed.filter(gives & (F.col("free") > room))
+        # Larger groups than partitions are; the pieces meet in groups of ``group``,
+        # others every round, never in one task.
+        groups = max(1, -(-n_pieces // group))
+        again = packing(pool.select(*names).repartition(
+            groups, F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(turn))), turn)
+        turn += 1
+        n_again = again.filter("offset = 0").count()
+        failed = 0 if n_again < n_open else rounds if groups == 1 else failed + 1
+        if n_again > n_open:
+            continue
+        stay = packed.filter(gives & (F.col("free") <= room))
+        aside.append(stay.filter("free > 0"))
+        done += [stay.filter("free = 0"), packed.filter(~gives)]
+        n_done += n - n_open
+        packed = again
+    out = stored(_union([*done, *aside, packed]).drop("free", "part_sequences", "part_bound")
+                 .withColumn("part", _part()), "packed")
+    return out.join(stored(certified(out, capacity), "certified"), "part").drop("part")
 
 
 def pack_documents(docs: DataFrame, vocabulary: str | None = None, capacity: int = 4096,

@@ -5,12 +5,14 @@ which always stay. The field tags the tokens around every token that could
 begin a secret (six or more letters and digits with a digit among them, or
 twenty letters) as begin, inside or outside, from shape, neighbouring words and features of the
 whole text, and Viterbi finds the best sequence of tags. Its spans of
-``MIN_SECRET`` characters or more that touch no base span are added as kind
-``crf``. Elsewhere every tag but outside is ruled out, so skipping the rest
+``MIN_SECRET`` characters or more are added as kind ``crf``, without the parts
+that base spans cover. Elsewhere every tag but outside is ruled out, so skipping the rest
 of a text changes nothing.
 
 The field is trained on a bounded number of sequences (``TRAIN_DOCS``
-documents by hash of the id) with the base spans as labels.
+documents by hash of the id, of each text at most ``TRAIN_RUNS`` runs and of each
+run ``TRAIN_TOKENS`` tokens, by hash over the whole text) with the base spans as
+labels.
 
 Positions are code points, ends exclusive. Null and empty texts have no
 spans; repeated rows get the same spans; documents without candidates never
@@ -42,6 +44,8 @@ _CLUES = ("passw", "secret", "token", "api")
 MIN_SECRET = 12
 TRAIN_DOCS = 20_000
 TRAIN_SEQUENCES = 6_000
+TRAIN_RUNS = 20
+TRAIN_TOKENS = 64
 #: Tokens around a candidate that are tagged with it.
 AROUND = 6
 SLOTS = 1 << 14
@@ -152,6 +156,16 @@ def featurize(run: list[tuple[str, int, int]], whole: list[str]) -> tuple[np.nda
     return slots, allowed
 
 
+def training_runs(text: str) -> list[list[tuple[str, int, int]]]:
+    """The runs of a text that train the field, chosen by hash, in their order."""
+    found = []
+    for k, run in enumerate(sequences(text)):
+        name = zlib.crc32(f"{run[0][1]}:{run[0][0]}:{run[-1][0]}".encode("utf-8", "surrogatepass"))
+        at = name % max(1, len(run) - TRAIN_TOKENS + 1)
+        found.append((name, k, run[at:at + TRAIN_TOKENS]))
+    return [run for _, _, run in sorted(sorted(found)[:TRAIN_RUNS], key=lambda f: f[1])]
+
+
 def gold_tags(run: list[tuple[str, int, int]], allowed: np.ndarray, spans) -> np.ndarray:
     """Tags of a run where the base spans mark the secrets."""
     tags = np.zeros(len(run), np.int8)
@@ -268,8 +282,14 @@ def field_spans(text: str, model: Crf, base) -> list[tuple[str, int, int]]:
                 while j + 1 < len(run) and tags[j + 1] == I:
                     j += 1
                 a, b = run[i][1], run[j][2]
-                if b - a >= MIN_SECRET and not any(x < b and a < y for _, x, y in base):
-                    out.append(("crf", a, b))
+                if b - a >= MIN_SECRET:
+                    for _, x, y in sorted(base, key=lambda s: s[1]):
+                        if x < b and a < y:
+                            if a < x:
+                                out.append(("crf", a, x))
+                            a = y
+                    if a < b:
+                        out.append(("crf", a, b))
                 i = j
             i += 1
     return out
@@ -298,8 +318,7 @@ def _train_rows(names: list[str]):
             for place, text in zip(keep.column("place").to_pylist(),
                                    keep.column("text").to_pylist()):
                 spans, whole = base_spans(text), file_features(text)
-                for k, seq in enumerate(sequences(text)[:20]):
-                    seq = seq[:64]
+                for k, seq in enumerate(training_runs(text)):
                     slots, allowed = featurize(seq, whole)
                     yield pa.RecordBatch.from_arrays([
                         pa.array([place], pa.int64()), pa.array([k], pa.int32()),

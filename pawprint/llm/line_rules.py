@@ -81,6 +81,11 @@ def base_columns(docs: DataFrame) -> DataFrame:
             .drop("plain", "words", "windows", "ranked", "lines"))
 
 
+def _line_form(text):
+    """Lines as they are compared: without white space, digits as 0."""
+    return F.regexp_replace(F.regexp_replace(text, r"[\x09\x0B-\x0D\x20]+", ""), "[0-9]", "0")
+
+
 def document_lines(docs: DataFrame) -> DataFrame:
     """doc_id, host, text hash, line hash and size of every line that has a word.
 
@@ -88,9 +93,8 @@ def document_lines(docs: DataFrame) -> DataFrame:
     in characters of that form.
     """
     text = F.coalesce("text", F.lit(""))
-    plain = F.regexp_replace(F.regexp_replace(text, r"[\x09\x0B-\x0D\x20]+", ""), "[0-9]", "0")
     return (docs.select("doc_id", "host", F.xxhash64(text).alias("text_hash"),
-                        F.explode(F.split(plain, "\n")).alias("line")).filter("line <> ''")
+                        F.explode(F.split(_line_form(text), "\n")).alias("line")).filter("line <> ''")
             .select("doc_id", "host", "text_hash", F.xxhash64("line").alias("line_hash"),
                     F.length("line").cast("long").alias("n")))
 
@@ -112,19 +116,41 @@ def common_lines(lines: DataFrame, texts: DataFrame, max_texts: int = MAX_TEXTS,
             .select("host", "line_hash"))
 
 
-def quality(docs: DataFrame, host: str = "source", max_texts: int = MAX_TEXTS,
-            max_share: float = MAX_SHARE, depleted: float = DEPLETED) -> DataFrame:
-    """The base counts, base_failed, characters in removed lines, and ``kept``, per row."""
-    docs = need(docs, "doc_id", "text", host).withColumnRenamed(host, "host")
+def _removed_lines(docs: DataFrame, max_texts: int, max_share: float) -> DataFrame:
+    """``document_lines`` that are common on their host."""
     lines = document_lines(docs)
     text = F.coalesce("text", F.lit(""))
     texts = (docs.filter(text.rlike(f"[^{_BLANKS}]"))
              .select("host", F.xxhash64(text).alias("text_hash")))
     common = common_lines(lines, texts, max_texts, max_share).select(
         F.col("host").alias("h"), F.col("line_hash").alias("l"))
-    lost = (lines.join(common, F.col("host").eqNullSafe(F.col("h")) &
-                       (F.col("line_hash") == F.col("l")), "left_semi")
-            .groupBy("doc_id").agg(F.sum("n").alias("removed"))
+    return lines.join(common, F.col("host").eqNullSafe(F.col("h")) &
+                      (F.col("line_hash") == F.col("l")), "left_semi")
+
+
+def cleaned(docs: DataFrame, host: str = "source", max_texts: int = MAX_TEXTS,
+            max_share: float = MAX_SHARE) -> DataFrame:
+    """doc_id, host and the text without its host's common lines, per row; other lines and a
+    null text stay as they are."""
+    docs = need(docs, "doc_id", "text", host).withColumnRenamed(host, "host")
+    out = (_removed_lines(docs, max_texts, max_share).groupBy("host", "text_hash")
+           .agg(F.collect_set("line_hash").alias("gone"))
+           .select(F.col("host").alias("h"), F.col("text_hash").alias("t"), "gone"))
+    # A blank line has no form and is never common.
+    stay = F.filter(F.split("text", "\n"), lambda x: (_line_form(x) == "") | ~F.array_contains(
+        "gone", F.xxhash64(_line_form(x))))
+    return (docs.join(out, F.col("host").eqNullSafe(F.col("h")) &
+                      (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("t")), "left")
+            .select("doc_id", F.col("host").alias(host),
+                    F.when(F.col("gone").isNull(), F.col("text"))
+                    .otherwise(F.array_join(stay, "\n")).alias("text")))
+
+
+def quality(docs: DataFrame, host: str = "source", max_texts: int = MAX_TEXTS,
+            max_share: float = MAX_SHARE, depleted: float = DEPLETED) -> DataFrame:
+    """The base counts, base_failed, characters in removed lines, and ``kept``, per row."""
+    docs = need(docs, "doc_id", "text", host).withColumnRenamed(host, "host")
+    lost = (_removed_lines(docs, max_texts, max_share).groupBy("doc_id").agg(F.sum("n").alias("removed"))
             .withColumnRenamed("doc_id", "id"))
     total = need(docs, "doc_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("copies"))
     lost = (lost.join(total, F.col("id").eqNullSafe(F.col("doc_id")))

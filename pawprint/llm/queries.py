@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from pawprint.llm import (decontam, jaccard_join, line_rules, packing, pfor, secret_scan,
-                          suffix_dedup, toxicity, weak_quality, wrappers)
+                          spimi, suffix_dedup, toxicity, weak_quality, wrappers)
 from pawprint.llm.common import load
 from pawprint.session import scratch_path
 
@@ -54,6 +54,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(load(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spimi.divergence(load(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_weak_label_quality": op2_weak_label_quality,
@@ -65,10 +69,12 @@ QUERIES = {
     "op8_html_wrappers": op8_html_wrappers,
     "op9_token_ids": op9_token_ids,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_source_divergence": op11_source_divergence,
 }
 
 ORACLE: dict[str, str] = {
     "op4_benchmark_decontamination": decontam.ORACLE,
     "op6_line_frequency_rules": line_rules.ORACLE,
     "op7_jaccard_join": jaccard_join.ORACLE,
+    "op11_source_divergence": spimi.ORACLE,
 }

@@ -36,6 +36,28 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: A key is heavy if it holds more than this part of all rows: there are fewer than so
+#: many heavy keys, which bounds what is broadcast.
+HEAVY_PARTS = 1000
+
+
+def join_back(rows: DataFrame, table: DataFrame, key: list[str], count: str,
+              how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``table`` (one row a key; ``count``: how many of ``rows`` have it).
+
+    Heavy keys, fewer than ``HEAVY_PARTS``, are joined by broadcast, so no task of the
+    other join gets more than a small part of all rows for one key. ``how`` is
+    "inner" or "left"."""
+    total = table.agg(F.sum(count)).first()[0] or 0
+    heavy = table.filter(F.col(count) * HEAVY_PARTS > total)
+    if heavy.isEmpty():
+        return rows.join(table, key, how)
+    few = F.broadcast(heavy)
+    light = table.filter(F.col(count) * HEAVY_PARTS <= total)
+    return rows.join(few, key).unionByName(
+        rows.join(few, key, "left_anti").join(light, key, how))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -177,8 +199,3 @@ def shingles(hashes: np.ndarray, row: np.ndarray, n_rows: int, width: int):
         out_h.append(np.array([h], np.uint64))
         out_r.append(np.array([r]))
     return np.concatenate(out_h), np.concatenate(out_r).astype(np.int64), count
-
-
-def starmap_rows(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)

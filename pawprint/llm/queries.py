@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from pawprint.llm import (decontam, jaccard_join, line_rules, packing, pfor, secret_scan,
-                          spimi, suffix_dedup, toxicity, weak_quality, wrappers)
+                          spimi, suffix_dedup, toxicity, warc, weak_quality, whitening,
+                          wrappers)
 from pawprint.llm.common import load
 from pawprint.session import scratch_path
 
@@ -58,6 +59,16 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spimi.divergence(load(spark, sf_dir, "documents"))
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(load(spark, sf_dir, "embeddings"))
+
+
+def op13_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write(load(spark, sf_dir, "pages"), path)
+    return warc.read(spark, path).drop("chunks")
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_weak_label_quality": op2_weak_label_quality,
@@ -70,6 +81,8 @@ QUERIES = {
     "op9_token_ids": op9_token_ids,
     "op10_best_fit_packing": op10_best_fit_packing,
     "op11_source_divergence": op11_source_divergence,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_warc_chunks": op13_warc_chunks,
 }
 
 ORACLE: dict[str, str] = {
@@ -77,4 +90,5 @@ ORACLE: dict[str, str] = {
     "op6_line_frequency_rules": line_rules.ORACLE,
     "op7_jaccard_join": jaccard_join.ORACLE,
     "op11_source_divergence": spimi.ORACLE,
+    "op13_warc_chunks": warc.ORACLE,
 }

@@ -79,3 +79,37 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+class Scratch:
+    """Tables of one job, written to the shared checkpoint folder and removed when it is done.
+
+    A written table cuts the lineage like a checkpoint does, and its file sizes
+    are what the planner goes by: estimates do not multiply over the rounds of
+    an iteration.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name = spark, name
+        self.paths: list[str] = []
+
+    def table(self, df: DataFrame) -> DataFrame:
+        path = scratch_path(self.spark, self.name)
+        df.write.parquet(path)
+        self.paths.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self, keep: DataFrame | None = None) -> None:
+        """Remove the tables, but for those that ``keep`` reads."""
+        held = set()
+        if keep is not None:
+            held = {f.rsplit("/", 1)[0].split(":", 1)[-1].lstrip("/") for f in keep.inputFiles()}
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        left = []
+        for path in self.paths:
+            if path.split(":", 1)[-1].lstrip("/") in held:
+                left.append(path)
+                continue
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(conf).delete(where, True)
+        self.paths = left

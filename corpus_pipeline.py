@@ -4,7 +4,7 @@ Every stage takes (spark, docs, sf_dir) and works on all rows that the stage
 before it kept; its result is written as Parquet and read again. All but the
 last return the columns of documents. Rows with a null id are their own
 groups and stay; repeated rows of an id and its copies are one group, of which
-the row with the smallest id stays.
+the row with the smallest id stays, once for each different text of that id.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ def jaccard_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     groups = jaccard_join.link_components(docs)
     stay = groups.filter((F.col("doc_id") == F.col("component_id"))).select("doc_id").distinct()
     kept = docs.join(stay, "doc_id", "left_semi")
-    return (kept.dropDuplicates(["doc_id"]).select(*COLUMNS)
+    return (kept.select(*COLUMNS).dropDuplicates(["doc_id", "text"])
             .unionByName(docs.filter("doc_id IS NULL").select(*COLUMNS)))
 
 

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pawprint.functions import text as tx
 from pawprint.operators import metrics
+from pawprint.operators.balls import nearest
 from pawprint.operators.encode import FeatureEncoder
+from pawprint.operators.logistic import fit_together
 from pawprint.operators.models import KNNClassifier
-from pawprint.operators.neighbours import knn_edges
 from pawprint.operators.sample import stratified_folds, stratified_split
 from pawprint.operators.smote import oversample, smote_samples
 from pawprint.plans import oracle as O
@@ -161,9 +162,9 @@ SELECT label, q AS vec_id, CAST(rn AS BIGINT) AS rank, n AS neighbour_id,
        round(dist, 6) AS distance FROM E5""")
 def smote_neighbours(spark, sf_dir):
     emb = io.read_table(spark, sf_dir, "embeddings")
-    e = knn_edges(emb, emb, SMOTE_K, query_id="vec_id", train_id="vec_id", query_vec="embedding",
-                  train_vec="embedding", query_group="label", train_group="label",
-                  exclude_self=True)
+    e = nearest(emb, emb, SMOTE_K, query_id="vec_id", train_id="vec_id", query_vec="embedding",
+                train_vec="embedding", query_group="label", train_group="label",
+                exclude_self=True)
     return e.select(F.col("g").alias("label"), F.col("qid").alias("vec_id"),
                     F.col("rank").cast("bigint").alias("rank"), F.col("nid").alias("neighbour_id"),
                     r6("distance").alias("distance"))
@@ -251,6 +252,45 @@ def knn_predict_embeddings(spark, sf_dir):
                        r6(F.element_at("proba", F.col("prediction"))).alias("p_pred"))
 
 
+#: The grid's C.
+_CS = (0.1, 1.0, 10.0)
+
+
+@query("logreg_joint_optimum", f"""
+SELECT c, CAST(label AS VARCHAR) AS label,
+       round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM embeddings), 6) AS mean_p,
+       true AS small_gradient
+FROM embeddings, (VALUES {', '.join(f'(CAST({c} AS DOUBLE))' for c in _CS)}) AS g(c)
+GROUP BY c, label""")
+def logreg_joint_optimum(spark, sf_dir):
+    """The three models of a grid, fitted together, at their optimum: a free intercept makes
+    the mean probability of a class its share of the rows, and the gradient, computed anew
+    from the models' own probabilities, is small."""
+    emb = io.read_table(spark, sf_dir, "embeddings").select(
+        F.col("label").cast("string").alias("label"),
+        array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+    joint = fit_together(emb, list(_CS), "features", "label")
+    n, out = emb.count(), None
+    for c, model in zip(_CS, joint.models):
+        p = model.transform(emb).select("label", "features",
+                                        vector_to_array("probability").alias("p"))
+        error = F.array(*[F.element_at("p", i + 1) - (F.col("label") == F.lit(x)).cast("double")
+                          for i, x in enumerate(joint.labels)])
+        slots = p.select(error.alias("e"), F.posexplode(vector_to_array("features")).alias(
+            "j", "x")).groupBy("j").agg(*[F.avg(F.col("e")[i] * F.col("x")).alias(f"g{i}")
+                                          for i in range(len(joint.labels))])
+        # One row a slot of the features and one column a class.
+        w = model.coefficientMatrix.toArray() / (c * n)
+        most = max(abs(r[f"g{i}"] + w[i, r["j"]]) for r in slots.collect() for i in range(len(w)))
+        rows = p.select(F.posexplode("p").alias("i", "q")).groupBy("i").agg(
+            F.avg("q").alias("mean_p")).select(
+            F.lit(c).alias("c"), F.element_at(F.array(*[F.lit(x) for x in joint.labels]),
+                                              F.col("i") + 1).alias("label"),
+            r6("mean_p").alias("mean_p"), F.lit(bool(most < 1e-6)).alias("small_gradient"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 # ----------------------------------------------------------------- metrics
 
 _RULE_PRED = (f"CASE {O.repro('SexuponOutcome')} WHEN 'Neutered/Spayed' THEN 'Adoption' "

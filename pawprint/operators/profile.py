@@ -8,13 +8,13 @@ final aggregation, so a hot key is pre-aggregated before the shuffle.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pawprint.functions.text import OTHER
+from pawprint.session import Scratch
 
 
 def _by(by) -> list[str]:
@@ -222,111 +222,112 @@ def histogram(df: DataFrame, col: str, bins: int = 50, by=None) -> DataFrame:
                       F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"))
 
 
-BROADCAST_TARGETS = 100_000
+#: Fewest rows of an interval that is narrowed further instead of ranked.
+SMALL_BUCKET = 200_000
+
+
+def _inside(src: DataFrame, spans: DataFrame, keys: list[str], grouped: bool) -> DataFrame:
+    """Rows of ``src`` (keys, _x) in every interval of ``spans`` (keys, _lo, _hi, ...) of
+    their group, with the interval's columns.
+
+    Grouped: a null-safe equi-join on the keys. Ungrouped: there are at most
+    two intervals a probability; they are literals, and no join is planned."""
+    more = [c for c in spans.columns if c not in keys]
+    if grouped:
+        t = spans.select(*[F.col(k).alias(f"_t_{k}") for k in keys], *more)
+        return (src.join(t, _same(keys) & F.col("_x").between(F.col("_lo"), F.col("_hi")))
+                .select(*keys, "_x", *more))
+    kind = dict(spans.dtypes)
+    spans = spans.collect()
+    if not spans:
+        return src.limit(0).select(*keys, "_x", *[F.lit(None).cast(kind[c]).alias(c)
+                                                  for c in more])
+    rows = F.array(*[F.struct(*[F.lit(r[c]).cast(kind[c]).alias(c) for c in more])
+                     for r in spans])
+    hit = F.filter(rows, lambda e: F.col("_x").between(e["_lo"], e["_hi"]))
+    return src.select(*keys, "_x", F.explode(hit).alias("_t")).select(*keys, "_x", "_t.*")
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by=None,
-                    buckets: int = 1024, small: int = 200_000, max_passes: int = 12) -> DataFrame:
+                    buckets: int = 1024, small: int = SMALL_BUCKET) -> DataFrame:
     """Exact linearly-interpolated quantiles by distributed selection.
 
     For value domains too large for ``percentile`` (which keeps one
-    ``value -> count`` map per group in a single task). For every needed
-    rank the value interval holding it is narrowed with equal-width
-    histograms: one aggregation pass over the data per round, each round
-    returning only ``#targets x buckets`` rows (count, min, max per bucket).
-    Buckets are monotone in the value, so a bucket's [min, max] holds
-    exactly its rows. Once a bucket has at most ``small`` rows (or a single
-    value), the rank is resolved by a window over that bucket only.
-
-    Meant for few, large groups: the interval state of every target lives on
-    the driver (#groups x #probs entries). Many small groups are better
-    served by ``percentile`` (``method="inmemory"``), whose maps stay small.
+    ``value -> count`` map per group in a single task). The needed ranks of a
+    group start in one interval, that of all its values. Every pass cuts the
+    intervals of more than ``small`` rows into equal-width buckets (count, min
+    and max of each) and keeps, for each rank, the bucket that holds it; a
+    bucket's [min, max] holds exactly its rows, and an interval shrinks in
+    every pass, so all become small or a single value. Then the ranks of an
+    interval are read from one window over it.
+
+    The intervals are a written table: groups may be few and huge or many and
+    small, and nothing of them passes through the driver (of an ungrouped
+    call, two intervals a probability do).
     """
-    from pyspark.sql import types as T
-    spark = df.sparkSession
     keys, src = _keyed(df.filter(F.col(col).isNotNull()), by)
+    grouped = bool(_by(by))
     src = src.select(*keys, F.col(col).cast("double").alias("_x"))
-    stats = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"),
-                                   F.max("_x").alias("_hi")).collect()
-    key_types = [src.schema[k].dataType for k in keys]
-    targets, want = {}, []
-    for s in stats:
-        g = tuple(s[k] for k in keys)
-        for p in probs:
-            pos = float(p) * (s["_n"] - 1)
-            lo_r, hi_r = math.floor(pos), math.ceil(pos)
-            want.append((g, float(p), pos, lo_r, hi_r))
-            for r in {lo_r, hi_r}:
-                targets.setdefault((g, r), {"lo": s["_lo"], "hi": s["_hi"], "below": 0,
-                                            "count": s["_n"], "value": None})
-    schema = T.StructType([T.StructField(k, t) for k, t in zip(keys, key_types)] + [
-        T.StructField("_tid", T.LongType()), T.StructField("_lo", T.DoubleType()),
-        T.StructField("_hi", T.DoubleType())])
-    tids = {t: i for i, t in enumerate(targets)}
-
-    def open_targets():
-        return [t for t, st in targets.items() if st["value"] is None]
-
-    def restrict(ts) -> DataFrame:
-        """Rows inside the interval of each target (rows x matching targets).
-
-        Grouped: equi-join on the group keys. Ungrouped: the few targets are
-        a literal array filtered per row, so no join is planned at all.
-        """
-        if by is not None and _by(by):
-            tdf = spark.createDataFrame(
-                [(*t[0], tids[t], targets[t]["lo"], targets[t]["hi"]) for t in ts], schema)
-            # The row count is known here (len(ts)): broadcast only below a bound.
-            j = src.join(F.broadcast(tdf) if len(ts) <= BROADCAST_TARGETS else tdf,
-                         keys, "inner")
-            return j.filter(F.col("_x").between(F.col("_lo"), F.col("_hi")))
-        arr = F.array(*[F.struct(F.lit(tids[t]).cast("long").alias("_tid"),
-                                 F.lit(float(targets[t]["lo"])).alias("_lo"),
-                                 F.lit(float(targets[t]["hi"])).alias("_hi")) for t in ts])
-        hit = F.filter(arr, lambda e: F.col("_x").between(e["_lo"], e["_hi"]))
-        return src.select("_x", F.explode(hit).alias("_t")).select("_x", "_t.*")
-
-    for _ in range(max_passes):
-        todo = [t for t in open_targets()
-                if targets[t]["count"] > small and targets[t]["lo"] < targets[t]["hi"]]
-        for t in open_targets():
-            if targets[t]["lo"] == targets[t]["hi"]:
-                targets[t]["value"] = targets[t]["lo"]
-        if not todo:
-            break
-        j = restrict(todo)
-        b = F.least(F.floor((F.col("_x") - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
-                            * buckets), F.lit(buckets - 1))
-        hist = (j.groupBy("_tid", b.alias("_b"))
-                .agg(F.count(F.lit(1)).alias("_c"), F.min("_x").alias("_mn"),
-                     F.max("_x").alias("_mx")).collect())
-        per = {}
-        for h in hist:
-            per.setdefault(h["_tid"], []).append(h)
-        for t in todo:
-            st = targets[t]
-            need = t[1] - st["below"]
-            for h in sorted(per.get(tids[t], []), key=lambda x: x["_b"]):
-                if need < h["_c"]:
-                    st.update(lo=h["_mn"], hi=h["_mx"], count=h["_c"])
-                    break
-                need -= h["_c"]
-                st["below"] += h["_c"]
-    rest = open_targets()
-    if rest:
-        j = restrict(rest)
-        w = Window.partitionBy("_tid").orderBy("_x")
-        ranked = j.select("_tid", "_x", F.row_number().over(w).alias("_rn"))
-        picks = spark.createDataFrame([(tids[t], t[1] - targets[t]["below"] + 1) for t in rest],
-                                      "_tid long, _rn long")
-        for r in ranked.join(picks, ["_tid", "_rn"]).collect():
-            t = next(x for x in rest if tids[x] == r["_tid"])
-            targets[t]["value"] = r["_x"]
-    rows = []
-    for g, p, pos, lo_r, hi_r in want:
-        lo_v, hi_v = targets[(g, lo_r)]["value"], targets[(g, hi_r)]["value"]
-        val = lo_v if lo_r == hi_r else (hi_r - pos) * lo_v + (pos - lo_r) * hi_v
-        rows.append((*g, p, float(val)))
-    out_schema = T.StructType([T.StructField(k, t) for k, t in zip(keys, key_types)] + [
-        T.StructField("prob", T.DoubleType()), T.StructField("value", T.DoubleType())])
-    return spark.createDataFrame(rows, out_schema).drop(_ALL)
+    scratch = Scratch(df.sparkSession, "quantiles")
+    prob = F.array(*[F.lit(float(p)) for p in probs])
+    position = F.transform(prob, lambda p: p * (F.col("_n") - 1))
+    ranks = F.array_distinct(F.flatten(F.transform(position, lambda q: F.array(
+        F.floor(q), F.ceil(q)))))
+    stats = scratch.table(src.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi")))
+    # (keys, _lo, _hi, _below: rows of the group under the interval, _count, _ranks)
+    spans = scratch.table(stats.select(
+        *keys, "_lo", "_hi", F.lit(0).cast("bigint").alias("_below"),
+        F.col("_n").alias("_count"), ranks.alias("_ranks")))
+    open_ = (F.col("_count") > small) & (F.col("_lo") < F.col("_hi"))
+    done = spans.filter(~open_)
+    spans = spans.filter(open_)
+    while not spans.isEmpty():
+        bucket = F.least(F.floor((F.col("_x") - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
+                                 * buckets), F.lit(buckets - 1))
+        span = [*keys, "_below"]
+        hist = (_inside(src, spans.drop("_count"), keys, grouped)
+                .groupBy(*span, "_ranks", bucket.alias("_b"))
+                .agg(F.count(F.lit(1)).alias("_count"), F.min("_x").alias("_lo"),
+                     F.max("_x").alias("_hi")))
+        before = Window.partitionBy(*span).orderBy("_b").rowsBetween(
+            Window.unboundedPreceding, -1)
+        hist = hist.withColumn("_below", F.col("_below") + F.coalesce(
+            F.sum("_count").over(before), F.lit(0)))
+        held = F.filter("_ranks", lambda r: (r >= F.col("_below"))
+                        & (r < F.col("_below") + F.col("_count")))
+        cut = scratch.table(hist.select(*keys, "_lo", "_hi", "_below", "_count",
+                                        held.alias("_ranks")).filter(F.size("_ranks") > 0))
+        done = done.unionByName(cut.filter(~open_))
+        spans = cut.filter(open_)
+    # Single values are their ranks' values; of the others every row is ranked once.
+    one = (done.filter(F.col("_lo") == F.col("_hi"))
+           .select(*keys, F.explode("_ranks").alias("_r"), F.col("_lo").alias("_x")))
+    rest = done.filter(F.col("_lo") < F.col("_hi")).drop("_count")
+    rank = (F.row_number().over(Window.partitionBy(*keys, "_below").orderBy("_x"))
+            + F.col("_below") - 1)
+    found = (_inside(src, rest, keys, grouped).withColumn("_r", rank.cast("bigint"))
+             .filter(F.array_contains("_ranks", F.col("_r"))).select(*keys, "_r", "_x"))
+    # The two ranks of a probability, side by side: one row a group and probability.
+    values = one.unionByName(found).groupBy(*keys).agg(
+        F.map_from_entries(F.collect_list(F.struct("_r", "_x"))).alias("_v"))
+    want = values.join(stats.select(*[F.col(k).alias(f"_t_{k}") for k in keys], "_n"),
+                       _same(keys)) if grouped else values.withColumn(
+        "_n", stats.select("_n").scalar())
+    q = F.col("_p") * (F.col("_n") - 1)
+    low, high = F.floor(q), F.ceil(q)
+    low_x, high_x = F.element_at("_v", low), F.element_at("_v", high)
+    out = want.select(*keys, "_v", "_n", F.explode(prob).alias("_p")).select(
+        *keys, F.col("_p").alias("prob"),
+        F.when(low == high, low_x).otherwise((high - q) * low_x + (q - low) * high_x)
+        .alias("value"))
+    result = scratch.table(out.drop(_ALL))
+    scratch.clear(keep=result)
+    return result
+
+
+def _same(keys: list[str]):
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_t_{k}"))
+    return on

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from pawprint.functions.text import OTHER
 from pawprint.operators.base import NotFittedError
+from pawprint.operators.ranks import exact_rank
 from pawprint.session import cut_lineage
 
 log = logging.getLogger(__name__)
@@ -74,7 +75,7 @@ def frequent_categories(counts: DataFrame, max_other_ratio: float,
         *part, "n", "mass_before", "total", "status")
     j = counts.join(live, [*part, "n"], "inner")
     whole = j.filter(F.col("status") == "all").withColumn("rn", F.lit(None).cast("bigint"))
-    split = _rank_by_name(j.filter(F.col("status") == "part"), [*part, "n"])
+    split = exact_rank(j.filter(F.col("status") == "part"), [*part, "n"], [F.col("category")])
     # share before a category = mass of earlier levels + earlier ties in its level.
     tie_before = F.when(F.col("status") == "part", F.col("rn") - 1)
     out = whole.unionByName(split).withColumn("tie_before", tie_before)
@@ -84,21 +85,9 @@ def frequent_categories(counts: DataFrame, max_other_ratio: float,
     return out.select(*part, "category", F.col("n").cast("bigint").alias("n"))
 
 
-def _rank_by_name(df: DataFrame, keys: list[str], prefix_chars: int = 2) -> DataFrame:
-    """``rn``: 1-based rank of ``category`` by name within ``keys``.
-
-    Without a single task per key: categories are bucketed by their first
-    characters (prefix order agrees with string order); a small histogram
-    of the buckets gives each bucket's offset and the rank inside a bucket
-    is a window over that bucket only.
-    """
-    x = df.withColumn("_p", F.substring("category", 1, prefix_chars))
-    hist = x.groupBy(*keys, "_p").agg(F.count(F.lit(1)).alias("_pc"))
-    w = Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    hist = hist.withColumn("_off", F.coalesce(F.sum("_pc").over(w), F.lit(0))).drop("_pc")
-    inner = F.row_number().over(Window.partitionBy(*keys, "_p").orderBy("category"))
-    return (x.join(hist, [*keys, "_p"], "inner")
-            .withColumn("rn", (F.col("_off") + inner).cast("bigint")).drop("_p", "_off"))
+def drift_message(column: str, ratio: float, limit: float) -> str:
+    return (f"Column '{column}' has an 'Other' ratio of {ratio:.3f}, which exceeds the configured "
+            f"max_other_ratio of {limit:.3f}.")
 
 
 class _RareParams(Params):
@@ -143,12 +132,13 @@ class RareCategoriesGrouper(Estimator, _RareParams, DefaultParamsReadable, Defau
             for r in head:
                 inline[r["column"]].append(r["category"])
             state = None
-            empty = [c for c in cols if not inline[c]]
+            kept = {c for c in cols if inline[c]}
         else:
             # Large lists: materialise once in the shared checkpoint folder so
             # every later transform reads the table instead of refitting.
             state = cut_lineage(state)
-            empty = []
+            kept = {r["column"] for r in state.select("column").distinct().collect()}
+        empty = [c for c in cols if c not in kept]
         for c in empty:
             msg = f"Column '{c}' is empty or contains only NaNs (nulls) during fit."
             log.warning(msg)
@@ -226,9 +216,7 @@ class RareCategoriesModel(Model, _RareParams):
         msgs = []
         for row in report_rows:
             if row["exceeded"]:
-                msg = (f"Column '{row['column']}' has an 'Other' ratio of {row['other_ratio']:.3f}, "
-                       f"which exceeds the configured max_other_ratio of "
-                       f"{row['max_other_ratio']:.3f}.")
+                msg = drift_message(row["column"], row["other_ratio"], row["max_other_ratio"])
                 warnings.warn(msg, RuntimeWarning)
                 msgs.append(msg)
         return msgs

@@ -127,9 +127,19 @@ class CategoricalFeaturesModel(Model):
         if self.grouper is None:
             raise NotFittedError("CategoricalFeaturesEngineer instance is not fitted. "
                                  "Call 'fit' before 'transform'.")
+        return self.grouper.transform(self._primary(df))
+
+    def _primary(self, df: DataFrame) -> DataFrame:
         if "Breed" in df.columns:
             df = df.withColumn("is_mix", tx.is_mix("Breed"))
-        return self.grouper.transform(primary_values(df))
+        return primary_values(df)
+
+    def transform_observed(self, df: DataFrame) -> DataFrame:
+        """``transform``; the shares of ``Other`` are observed by the grouper."""
+        if self.grouper is None:
+            raise NotFittedError("CategoricalFeaturesEngineer instance is not fitted. "
+                                 "Call 'fit' before 'transform'.")
+        return self.grouper.transform_observed(self._primary(df))
 
     def write(self) -> MLWriter:
         return self.grouper.write()

@@ -15,9 +15,11 @@ from pyspark.sql import types as T
 
 from pawprint.functions import temporal as tf
 from pawprint.functions import text as tx
+from pawprint.functions.text import OTHER
 from pawprint.operators import profile
 from pawprint.operators.explore import exploration_table
 from pawprint.operators.clean import DataCleaner
+from pawprint.operators.ranks import exact_rank
 from pawprint.operators.rare import RareCategoriesGrouper, category_counts, frequent_categories
 from pawprint.operators.stages import (CategoricalFeaturesEngineer, NameFeaturesExtractor,
                                        SexFeaturesExtractor, TemporalFeaturesExtractor,
@@ -384,7 +386,6 @@ _BINNED_PER_SPECIES = (
 def value_shares_binned(spark, sf_dir):
     """Primary-breed shares per species after a per-species rare grouping,
     ``Other`` listed last (one grouped fit, one grouped count)."""
-    from pyspark.sql import Window
     r = records(spark, sf_dir).filter(F.col("AnimalType").isNotNull())
     prim = r.select("AnimalType", tx.primary_breed("Breed").alias("Primary_Breed"))
     kept = frequent_categories(category_counts(prim, ["Primary_Breed"], by=["AnimalType"]), 0.15)
@@ -394,9 +395,9 @@ def value_shares_binned(spark, sf_dir):
         "AnimalType", tx.keep_or_other("Primary_Breed", F.coalesce("_kept", F.lit(False)))
         .alias("Primary_Breed"))
     shares = profile.value_shares(binned, "Primary_Breed", by="AnimalType")
-    w = Window.partitionBy("AnimalType").orderBy(*profile.other_last_order())
-    return shares.select("AnimalType", "value", "n", r6("share").alias("share"),
-                         F.row_number().over(w).cast("bigint").alias("position"))
+    ranked = exact_rank(shares, ["AnimalType"], [F.col("value") == F.lit(OTHER), -F.col("n"),
+                                                 F.col("value")], "position")
+    return ranked.select("AnimalType", "value", "n", r6("share").alias("share"), "position")
 
 
 def _null_profile_sql(only_missing: bool) -> str:

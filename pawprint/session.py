@@ -91,25 +91,20 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.name = spark, name
-        self.paths: list[str] = []
+        self.tables: list[tuple[str, DataFrame]] = []
 
     def table(self, df: DataFrame) -> DataFrame:
         path = scratch_path(self.spark, self.name)
         df.write.parquet(path)
-        self.paths.append(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        found = self.spark.read.schema(df.schema).parquet(path)
+        self.tables.append((path, found))
+        return found
 
     def clear(self, keep: DataFrame | None = None) -> None:
-        """Remove the tables, but for those that ``keep`` reads."""
-        held = set()
-        if keep is not None:
-            held = {f.rsplit("/", 1)[0].split(":", 1)[-1].lstrip("/") for f in keep.inputFiles()}
+        """Remove the tables, but for ``keep``, one that ``table`` returned."""
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        left = []
-        for path in self.paths:
-            if path.split(":", 1)[-1].lstrip("/") in held:
-                left.append(path)
-                continue
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(conf).delete(where, True)
-        self.paths = left
+        for path, df in self.tables:
+            if df is not keep:
+                where = jvm.org.apache.hadoop.fs.Path(path)
+                where.getFileSystem(conf).delete(where, True)
+        self.tables = [(p, d) for p, d in self.tables if d is keep]

@@ -108,3 +108,63 @@ def test_exploration_table(spark):
     assert (r.Reproductive_Status, r.Breed_Type, r.Primary_Breed) == ("Intact", "Mixed", "Lab")
     assert (r.Is_Multicolor, r.Primary_Color, r.KittenSeason_Label) == \
         ("Multicolor", "Black", "Kitten Season")
+
+
+def test_quantiles_of_many_groups_and_large_ones(spark):
+    # 3,000 small groups, a null one, and two that take several passes.
+    small = spark.range(60_000).select((F.col("id") % 3000).alias("g"),
+                                       F.hash("id").cast("double").alias("x"))
+    large = spark.range(20_000).select(
+        F.when(F.col("id") % 5 < 3, 9001).otherwise(9002).cast("long").alias("g"),
+        F.pow(F.lit(1.001), F.hash("id") % 9000).alias("x"))
+    null = spark.createDataFrame([(None, 1.0), (None, 4.0), (None, 2.5)], "g long, x double")
+    df = small.unionByName(large).unionByName(null)
+    probs = (0.0, 0.1, 0.5, 0.99, 1.0)
+    key = lambda d: sorted(((r.g is None, r.g or 0, r.prob, r.value) for r in d.collect()))
+    got = key(profile.exact_quantiles(df, "x", probs, by="g", buckets=16, small=50))
+    want = key(profile.quantiles(df, "x", probs, by="g"))
+    assert len(got) == len(want) == 3003 * 5
+    assert all(a[:3] == b[:3] and abs(a[3] - b[3]) <= 1e-9 * max(1.0, abs(b[3]))
+               for a, b in zip(got, want))
+
+
+def test_quantiles_of_nothing(spark):
+    df = spark.createDataFrame([], "g long, x double")
+    assert profile.exact_quantiles(df, "x", (0.5,), by="g").collect() == []
+    assert profile.exact_quantiles(df, "x", (0.5,)).collect() == []
+
+
+def test_ranks_of_tied_names_are_dealt(spark):
+    # 20,000 names with one prefix in one group: no range holds above 1/50 of them.
+    from pawprint.operators.ranks import exact_rank
+    df = spark.range(20_000).select(F.lit("a").alias("g"), F.concat(
+        F.lit("same prefix "), F.lpad(F.col("id").cast("string"), 6, "0")).alias("name"))
+    ranked = exact_rank(df, ["g"], [F.col("name")])
+    assert ranked.filter(F.col("rn") - 1 != F.substring("name", 13, 6).cast("long")).isEmpty()
+    plan = df.withColumn("_o", F.struct("name"))
+    cuts = sorted(r[0] for r in plan.select("name").orderBy(F.xxhash64("_o")).limit(512).collect())
+    at = [int(c[12:]) for c in cuts] + [20_000]
+    assert max(b - a for a, b in zip([0] + at, at)) <= 20_000 / 50
+
+
+def test_ranks_equal_a_window(spark):
+    from pyspark.sql import Window
+
+    from pawprint.operators.ranks import exact_rank
+    df = spark.range(500).select((F.col("id") % 3).alias("g"), (F.col("id") % 7).alias("n"),
+                                 F.col("id").cast("string").alias("v"))
+    got = exact_rank(df, ["g"], [-F.col("n"), F.col("v")], cuts=4)
+    want = df.withColumn("rn", F.row_number().over(
+        Window.partitionBy("g").orderBy(F.desc("n"), "v")).cast("long"))
+    assert sorted(map(tuple, got.select("g", "n", "v", "rn").collect())) == \
+        sorted(map(tuple, want.collect()))
+
+
+def test_null_column_is_warned_of_at_every_size(spark, monkeypatch):
+    import pawprint.operators.rare as rare
+    df = spark.range(50).select(F.col("id").cast("string").alias("a"),
+                                F.lit(None).cast("string").alias("b"))
+    for limit in (20_000, 3):
+        monkeypatch.setattr(rare, "INLINE_LIMIT", limit)
+        with pytest.warns(RuntimeWarning, match="Column 'b' is empty"):
+            rare.RareCategoriesGrouper(["a", "b"], 0.1).fit(df)

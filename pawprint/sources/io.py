@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pawprint.sources.quoted import read_quoted
 from pawprint.sources.schema import KEY, NA_TOKENS, RAW_SCHEMA, TARGET
 
 
@@ -37,8 +38,8 @@ def read_raw(spark: SparkSession, path: str, fmt: str = "csv",
     pass over the data); known columns get their declared type, others are
     strings. Whitespace is kept as is, doubled quotes inside quotes are one
     quote, and the NA tokens become null (CSV only: parquet has real nulls).
-    ``multiline`` is for files with line breaks inside quotes, which Spark
-    cannot split into tasks. A column absent from the file stays absent (so a
+    ``multiline`` is for files with line breaks inside quotes: their splits are
+    read in parallel, in two passes (``sources.quoted``). A column absent from the file stays absent (so a
     missing target is detected).
     """
     if fmt == "csv":
@@ -49,6 +50,8 @@ def read_raw(spark: SparkSession, path: str, fmt: str = "csv",
             known = {f.name: f for f in schema.fields}
             schema = T.StructType([known.get(c, T.StructField(c, T.StringType()))
                                    for c in header])
+            if multiline:
+                return null_na_tokens(read_quoted(spark, path, schema))
             reader = reader.schema(schema)
         return null_na_tokens(reader.csv(path))
     if fmt == "parquet":

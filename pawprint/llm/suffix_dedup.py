@@ -20,8 +20,9 @@ anchor serves all the windows that chose it, a segment of bytes around it.
    decide without looking at bytes, equal ones compare only what follows.
 5. Neighbours that share the anchor's 32 bytes form a group; a window found
    in an earlier member is removed. Anchors that occur very often (a passage
-   in a third of all documents) send their windows' 128-bit digests through
-   an aggregation instead, so no group is gathered in a task.
+   in a third of all documents) send 128-bit digests of their windows, each run
+   a window once, to groups by the digest's value instead, packed, so no anchor's
+   group is gathered in a task.
 
 Null and empty texts have no bytes. Repeated rows (same id and text) are one
 document and get the same result each; different texts under one id are
@@ -36,7 +37,7 @@ from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pawprint.llm.common import (byte_table, mix, need, offsets_of, partitions, powers, slices,
@@ -312,11 +313,17 @@ def _run_rows(splitters: list[bytes], names: list[str]):
                             np.array([len(v) for v in spans.values()], "<u4").tobytes(),
                             np.concatenate([*spans.values()]).astype("<u4").tobytes(),
                             b"", b"", b"", b""))
-            if digests:
-                first = list(digests.values())
-                out.append((beside, [ids[d[3]] for d in first], [marks[d[3]] for d in first],
-                            b"", b"", b"".join(digests), b"", b"", b"",
-                            np.array([d[2] for d in first], "<u4").tobytes()))
+            # Digests go to groups of their own, by their value.
+            groups: dict[int, list] = {}
+            for name, here in digests.items():
+                groups.setdefault(-1 - int.from_bytes(name[:4], "little") % (len(splitters) + 1),
+                                  []).append((name, here))
+            for k, group in sorted(groups.items()):
+                rows, number = np.unique([h[3] for _, h in group], return_inverse=True)
+                out.append((k, [ids[r] for r in rows], [marks[r] for r in rows], b"", b"",
+                            b"".join([n for n, _ in group]), b"", b"",
+                            number.astype("<u4").tobytes(),
+                            np.array([h[2] for _, h in group], "<u4").tobytes()))
             for lo in range(0, len(out), 64):
                 cols = list(zip(*out[lo:lo + 64]))
                 yield pa.RecordBatch.from_arrays(
@@ -452,29 +459,58 @@ def _merge_range(names: list[str]):
         close()
         return pa.table([pa.array([refs[r][0] for r in spans], kind),
                          pa.array([refs[r][1] for r in spans], pa.int64()),
-                         pa.array([v for v in spans.values()], pa.list_(pa.int64())),
-                         pa.nulls(len(spans), pa.binary())], names=names)
+                         pa.array([v for v in spans.values()], pa.list_(pa.int64()))],
+                        names=names)
     return run
 
 
+def _late_windows(runs: list[dict]) -> dict[tuple, list[int]]:
+    """Spans, by document, of windows whose digest an earlier window of these rows has."""
+    refs = [x for r in runs for x in zip(r["ids"], r["marks"])]
+    order = sorted(range(len(refs)), key=lambda i: (
+        refs[i][0] is not None, refs[i][0] if refs[i][0] is not None else 0, refs[i][1]))
+    rank = np.empty(len(refs), np.int64)
+    rank[order] = np.arange(len(refs))
+    base = np.cumsum([0] + [len(r["ids"]) for r in runs])
+    digest = np.frombuffer(b"".join([r["rests"] for r in runs]), "<u8").reshape(-1, 2)
+    start = np.concatenate([np.frombuffer(r["places"], "<u4") for r in runs]).astype(np.int64)
+    doc = rank[np.concatenate([np.frombuffer(r["numbers"], "<u4").astype(np.int64) + n
+                               for r, n in zip(runs, base)])]
+    by = np.lexsort((start, doc, digest[:, 1], digest[:, 0]))
+    late = np.zeros(len(by), bool)
+    late[1:] = (digest[by[1:]] == digest[by[:-1]]).all(axis=1)
+    doc, start = doc[by[late]], start[by[late]]
+    by = np.lexsort((start, doc))
+    doc, start = doc[by], start[by]
+    # Windows that touch are one span.
+    first = np.ones(len(doc), bool)
+    first[1:] = (doc[1:] != doc[:-1]) | (start[1:] > start[:-1] + LENGTH)
+    at = np.flatnonzero(first)
+    last = np.append(at[1:], len(doc)) - 1
+    out: dict[tuple, list[int]] = {}
+    for i, a, b in zip(doc[at].tolist(), start[at].tolist(), start[last].tolist()) if len(at) else ():
+        out.setdefault(refs[order[i]], []).extend((a, b + LENGTH))
+    return out
+
+
 def _beside(table, kind, names: list[str]):
-    """Rows of a negative range: removed spans as they are, and a row per digest."""
-    ids, marks, spans, digests = [], [], [], []
+    """Rows of a negative range: spans that runs removed, and those of late windows."""
+    ids, marks, spans, runs = [], [], [], []
     for r in table.to_pylist():
+        if not r["lens"]:
+            runs.append(r)
+            continue
         ids += r["ids"]
         marks += r["marks"]
-        raw = r["rests"]
-        if r["lens"]:
-            n = np.frombuffer(r["lens"], "<u4")
-            spans += [x.tolist() for x in np.split(
-                np.frombuffer(raw, "<u4").astype(np.int64), np.cumsum(n)[:-1])]
-            digests += [None] * len(n)
-        else:
-            spans += [[x] for x in np.frombuffer(r["places"], "<u4").tolist()]
-            digests += [raw[i:i + 16] for i in range(0, len(raw), 16)]
+        spans += [x.tolist() for x in np.split(
+            np.frombuffer(r["rests"], "<u4").astype(np.int64),
+            np.cumsum(np.frombuffer(r["lens"], "<u4"))[:-1])]
+    for (doc, mark), found in (_late_windows(runs) if runs else {}).items():
+        ids.append(doc)
+        marks.append(mark)
+        spans.append(found)
     return pa.table([pa.array(ids, kind), pa.array(marks, pa.int64()),
-                     pa.array(spans, pa.list_(pa.int64())), pa.array(digests, pa.binary())],
-                    names=names)
+                     pa.array(spans, pa.list_(pa.int64()))], names=names)
 
 
 def _splitters(wanted: DataFrame, n_ranges: int) -> list[bytes]:
@@ -556,16 +592,8 @@ def find_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
         _run_rows(_splitters(wanted, 2 * n_parts), cols),
         f"range int, {docs_of}, " + ", ".join(f"{c} binary" for c in cols[3:]))
     found = stored(runs.groupBy("range").applyInArrow(
-        _merge_range([*key, "spans", "digest"]),
-        f"doc_id {kind}, mark bigint, spans array<bigint>, digest binary"), "found")
-    windows = found.filter("digest IS NOT NULL").select(
-        *key, F.get("spans", F.lit(0)).alias("start"), "digest")
-    # A run reports a window once, so a digest has at most as many rows as there are runs.
-    order = Window.partitionBy("digest").orderBy(*key, "start")
-    late = (windows.withColumn("k", F.row_number().over(order)).filter("k > 1")
-            .select(*key, F.array("start", F.col("start") + LENGTH).alias("spans")))
-    spans = (found.filter("digest IS NULL").select(*key, "spans").unionByName(late)
-             .groupBy(*key).agg(F.collect_list("spans").alias("spans"))
+        _merge_range([*key, "spans"]), f"doc_id {kind}, mark bigint, spans array<bigint>"), "found")
+    spans = (found.groupBy(*key).agg(F.collect_list("spans").alias("spans"))
              .withColumnsRenamed({"doc_id": "id", "mark": "m"}))
     out = ["doc_id", "mark", "n_removed", "starts", "ends", "kept_sha256"]
     return (wanted.join(spans, wanted["doc_id"].eqNullSafe(spans["id"]) &

@@ -15,7 +15,7 @@ from pawprint.operators.models import KNNClassifier
 from pawprint.operators.sample import stratified_folds, stratified_split
 from pawprint.operators.smote import oversample, smote_samples
 from pawprint.plans import oracle as O
-from pawprint.plans.chain import fit_chain, fit_prep, with_p_true
+from pawprint.plans.chain import ChainModel, balance, fit_chain, fit_prep, with_p_true
 from pawprint.plans.queries import engineered, query, r6, records
 from pawprint.plans.search import (evaluate_models, prepare_split, results_table, run_tournament,
                                    short_search_spaces, train_all)
@@ -460,6 +460,59 @@ def forest_predict(spark, sf_dir):
         "clf__n_estimators": 100, "clf__max_depth": 15})
 
 
+_CONTRACT = {
+    "knn": {"clf__n_neighbors": 5, "clf__weights": "distance"},
+    "logistic_regression": {"clf__C": 1.0},
+    "random_forest": {"clf__n_estimators": 100, "clf__max_depth": 15},
+}
+
+
+@query("predict_contract", O.with_records(f"""
+SELECT AnimalType, family, CAST(ceil(CAST(0.2 AS DOUBLE) * count(*)) AS BIGINT) AS n_rows,
+       CAST(ceil(CAST(0.2 AS DOUBLE) * count(*)) AS BIGINT) AS n_keys,
+       CAST(0 AS BIGINT) AS n_unknown_label, CAST(0 AS BIGINT) AS n_other_classes,
+       CAST(0 AS BIGINT) AS n_bad_sum, CAST(0 AS BIGINT) AS n_not_most_likely,
+       CAST(0 AS BIGINT) AS n_changed_by_reload
+FROM D, (VALUES {', '.join(f"('{f}')" for f in _CONTRACT)}) AS fam(family)
+WHERE AnimalType IN ('Dog', 'Cat') GROUP BY AnimalType, family""", _D_CTE))
+def predict_contract(spark, sf_dir):
+    """What holds of every trained model's predictions: a row a test key, labels and classes of
+    the training rows, probabilities that sum to 1 with the prediction the likeliest class, and
+    the same after saving and loading. The families share preparation and balanced set."""
+    out = None
+    for species, train, test in _species_splits(spark, sf_dir):
+        prep = fit_prep(train, 0.15)
+        balanced = cut_lineage(balance(prep.transform(train), SMOTE_K))
+        for family, params in _CONTRACT.items():
+            model = fit_chain(train, family, params, prep=prep, balanced=balanced)
+            path = scratch_path(spark, "contract-model")
+            model.save(path)
+            loaded = ChainModel.load(spark, path).predict(test).select(
+                F.col(KEY).alias("k2"), F.col("prediction").alias("p2"), F.col("proba").alias("q2"))
+            pred = model.predict(test).select(KEY, "prediction", "proba")
+            both = pred.join(loaded, pred[KEY] == loaded["k2"], "full")
+            labels = F.array(*[F.lit(x) for x in model.clf.labels])
+            total = F.aggregate(F.map_values("proba"), F.lit(0.0), lambda a, x: a + x)
+            most = F.array_max(F.map_values("proba"))
+            gap = F.array_max(F.transform(labels, lambda x: F.abs(
+                F.element_at("proba", x) - F.element_at("q2", x))))
+            n_if = lambda c: F.count_if(F.coalesce(c, F.lit(True))).cast("bigint")
+            row = both.agg(
+                F.count(KEY).alias("n_rows"),
+                F.count_distinct(F.coalesce(KEY, "k2")).alias("n_keys"),
+                n_if(~F.array_contains(labels, F.col("prediction"))).alias("n_unknown_label"),
+                n_if(F.sort_array(F.map_keys("proba")) != F.sort_array(labels))
+                .alias("n_other_classes"),
+                n_if(F.abs(total - 1.0) > 1e-6).alias("n_bad_sum"),
+                n_if(F.element_at("proba", F.col("prediction")) < most - 1e-9)
+                .alias("n_not_most_likely"),
+                n_if((F.col("prediction") != F.col("p2")) | (gap > 1e-9))
+                .alias("n_changed_by_reload"))
+            row = row.select(F.lit(species).alias(GROUP_COL), F.lit(family).alias("family"), "*")
+            out = row if out is None else out.unionByName(row)
+    return out
+
+
 @query("tournament_results")
 def tournament_results(spark, sf_dir):
     out = None

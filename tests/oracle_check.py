@@ -74,8 +74,11 @@ def compare(spark_df, sql: str, sf_dir: str) -> tuple[bool, str]:
     d_cols, d_rows = rows_of(d_pdf)
     if s_cols != d_cols:
         return False, f"columns differ: spark={s_cols} duck={d_cols}"
-    s_types = {c: str(t) for c, t in s_pdf.dtypes.items()}
-    d_types = {c: str(t) for c, t in d_pdf.dtypes.items()}
+    def types(pdf):
+        # An integer column with nulls is float64 in one library's frames, Int64 in the other's.
+        return {c: "float64" if str(t) == "Int64" and pdf[c].isna().any() else str(t)
+                for c, t in pdf.dtypes.items()}
+    s_types, d_types = types(s_pdf), types(d_pdf)
     if s_types != d_types:
         diff = {c: (s_types[c], d_types[c]) for c in s_types if s_types[c] != d_types[c]}
         return False, f"pandas dtypes differ (spark, duck): {diff}"

@@ -14,8 +14,9 @@ a name marks as a menu, advert, notice and the like, and text that is the same
 on three different pages or more and on most of the host's different pages.
 A region that holds most of the host's text is never left out, headings of
 sections stay, and where most of the text is the same on all pages nothing is
-left out for being the same. Pages are told apart by a checksum of their html;
-each node keeps the ``SAMPLE`` smallest ones of its pages.
+left out for being the same. Pages are told apart by a digest of their html;
+how many different pages of a host have a node is counted over all of them:
+pages with the same paths are one shape, and the shapes' counts add up.
 
 Null or empty html gives an empty text; pages without a host form a group of
 their own; broken markup (unclosed or stray tags, cut ends) is read as far as
@@ -25,6 +26,7 @@ empty table gives no rows.
 
 from __future__ import annotations
 
+import hashlib
 import html as _html
 import json
 import re
@@ -60,8 +62,7 @@ NAMES = re.compile(
 #: Names that tell of such a part elsewhere.
 _ABOUT = re.compile(r"(?:^|[_-])(has|with|without|no)[_-]", re.I)
 HEADINGS = frozenset("h2 h3 h4 h5 h6".split())
-#: Checksums of pages kept per node, and children from which on class names are not told apart.
-SAMPLE = 12
+#: Children from which on class names are not told apart.
 MANY = 64
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu "
                   "form".split())
@@ -186,7 +187,7 @@ def mark_links(node: list, in_link: bool = False) -> tuple[int, int]:
 
 # ---- expressions -------------------------------------------------------------
 # A node: [label, optional, repeated, pages, chars, link chars, slot, children].
-# pages: the smallest checksums of the pages that have it.
+# pages: names of the pages that have it, or how many of the host's different pages do.
 # slot: None without text, a checksum while all texts are equal, -1 when they vary.
 LABEL, OPT, REP, PAGES, CHARS, LINKS, SLOT, KIDS = range(8)
 
@@ -238,9 +239,7 @@ def folded(kids: list) -> list:
 
 
 def _pages(a: list, b: list) -> list:
-    if a == b or (len(a) == SAMPLE and len(b) == 1 and b[0] > a[-1]):
-        return a
-    return sorted({*a, *b})[:SAMPLE]
+    return a if a == b else sorted({*a, *b})
 
 
 def merged(a: list, b: list) -> list:
@@ -299,11 +298,36 @@ def regular_expression(node: list) -> str:
 
 # ---- regions -----------------------------------------------------------------
 
+def page_paths(tree: list) -> list[str]:
+    """The paths (labels joined by /) of a page's tree outside boilerplate, each once."""
+    out = set()
+
+    def walk(node: list, path: str) -> None:
+        here = f"{path}/{node[0]}"
+        out.add(here)
+        for c in node[1]:
+            if not isinstance(c, str) and not c[0].endswith("!"):
+                walk(c, here)
+
+    walk(tree, "")
+    return sorted(out)
+
+
+def wrapper_nodes(node: list, path: str = ""):
+    """(path, node) of the wrapper's nodes outside boilerplate; groups are no part of a path."""
+    if node[LABEL].endswith("!"):
+        return
+    here = path if node[LABEL] == "()" else f"{path}/{node[LABEL]}"
+    if here is not path:
+        yield here, node
+    for k in node[KIDS]:
+        yield from wrapper_nodes(k, here)
+
+
 def regions(wrapper: list) -> dict[str, int]:
     """Paths (labels joined by /) that hold no main text, as 1; paths that hold it
     although a name marks them, as 0."""
     totals: dict[str, list] = {}
-    sample = set(wrapper[PAGES])
 
     def walk(node: list, path: str) -> tuple[int, int, int]:
         """Characters, those in links, and those of variable slots outside links."""
@@ -319,16 +343,24 @@ def regions(wrapper: list) -> dict[str, int]:
             chars, links, varies = chars + c, links + n, varies + v
             again |= k[REP]
         if label != "()":
-            t = totals.setdefault(here, [0, 0, 0, set(), 0])
+            t = totals.setdefault(here, [0, 0, 0, 0, 0])
             t[0] += chars
             t[1] += links
             t[2] += varies
-            t[3].update(node[PAGES])
             t[4] |= again
         return (0, 0, 0) if label.endswith("%") else (chars, links, varies)
 
     chars, links, changing = walk(wrapper, "")
     text = chars - links
+    names: dict[str, set] = {}
+    for path, node in wrapper_nodes(wrapper):
+        if isinstance(node[PAGES], int):
+            totals[path][3] = node[PAGES]
+        else:
+            names.setdefault(path, set()).update(node[PAGES])
+    for path, found in names.items():
+        totals[path][3] = len(found)
+    n_pages = totals[f"/{wrapper[LABEL]}"][3]
     out = {}
     for path, (chars, links, varies, pages, again) in totals.items():
         *above, label = path.split("/")
@@ -341,8 +373,8 @@ def regions(wrapper: list) -> dict[str, int]:
         elif 2 * links > chars:
             if again and label.endswith("~") or not {"article", "main"} & {*above, label}:
                 out[path] = 1
-        elif (not varies and 2 * changing > text and tag not in HEADINGS and len(pages) >= 3
-              and 2 * len(pages & sample) > len(sample)):
+        elif (not varies and 2 * changing > text and tag not in HEADINGS and pages >= 3
+              and 2 * pages > n_pages):
             out[path] = 1
     return out
 
@@ -400,24 +432,39 @@ def main_text(tree: list, skip: dict[str, int]) -> str:
 
 # ---- Spark -------------------------------------------------------------------
 
-def _expression_rows(names: list[str]):
-    """One merged expression per host and slice of pages."""
+_FOUND = ("host string, slice bigint, expression string, page binary, shape binary, "
+          "paths array<string>")
+
+
+def _digest(raw: bytes) -> bytes:
+    return hashlib.blake2b(raw, digest_size=16).digest()
+
+
+def _expression_rows(schema: pa.Schema):
+    """One merged expression per host and slice of pages; host, digest and shape (digest of
+    the paths) of every page; the paths of every shape of the slice."""
     def run(batches):
         from pyspark import TaskContext
         name = TaskContext.get().partitionId() << 32
         for part in slices(batches, "html"):
             by_host: dict[str, list] = {}
+            out, shapes = [], {}
             for host, page in zip(part.column("host").to_pylist(),
                                   part.column("html").to_pylist()):
                 if page:
-                    e = expression(parse(page), pages=(zlib.crc32(page.encode(
-                        "utf-8", "surrogatepass")),))
+                    tree = parse(page)
+                    paths = page_paths(tree)
+                    shape = _digest("\n".join(paths).encode("utf-8", "surrogatepass"))
+                    shapes[shape] = paths
+                    out.append({"host": host, "shape": shape,
+                                "page": _digest(page.encode("utf-8", "surrogatepass"))})
+                    e = expression(tree, pages=())
                     by_host[host] = merged(by_host[host], e) if host in by_host else e
             if by_host:
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(list(by_host), pa.string()),
-                    pa.array([name] * len(by_host), pa.int64()),
-                    pa.array([json.dumps(e) for e in by_host.values()])], names=names)
+                out += [{"shape": k, "paths": v} for k, v in shapes.items()]
+                out += [{"host": h, "slice": name, "expression": json.dumps(e)}
+                        for h, e in by_host.items()]
+                yield pa.RecordBatch.from_pylist(out, schema)
             name += 1
     return run
 
@@ -436,17 +483,59 @@ def host_of(url):
                       F.lit(""))
 
 
+def _path_rows(names: list[str]):
+    """(host, path) of every node of a wrapper."""
+    def run(batches):
+        for part in batches:
+            for host, raw in zip(part.column("host").to_pylist(),
+                                 part.column("expression").to_pylist()):
+                paths = sorted({path for path, _ in wrapper_nodes(json.loads(raw))})
+                yield pa.RecordBatch.from_arrays([pa.array([host] * len(paths), pa.string()),
+                                                  pa.array(paths, pa.string())], names=names)
+    return run
+
+
+def _counted_rows(names: list[str]):
+    """The wrappers with the number of different pages at each node."""
+    def run(batches):
+        for part in batches:
+            out = []
+            for raw, paths, ns in zip(*[part.column(c).to_pylist() for c in (
+                    "expression", "paths", "ns")]):
+                wrapper, n = json.loads(raw), dict(zip(paths or (), ns or ()))
+                for path, node in wrapper_nodes(wrapper):
+                    node[PAGES] = n.get(path, 0)
+                out.append(json.dumps(wrapper))
+            yield pa.RecordBatch.from_arrays([part.column("host"), pa.array(out, pa.string())],
+                                             names=names)
+    return run
+
+
 def infer(pages: DataFrame) -> DataFrame:
     """host, expression (JSON) of every host in ``pages(url, html)``."""
-    names = ["host", "slice", "expression"]
     found = stored(need(pages, "url", "html").select(host_of("url").alias("host"), "html")
-                   .mapInArrow(_expression_rows(names),
-                               "host string, slice bigint, expression string"), "expressions")
-    salts = max(1, int(found.select("slice").distinct().count() ** 0.5))
+                   .mapInArrow(_expression_rows(pa.schema([
+                       ("host", pa.string()), ("slice", pa.int64()), ("expression", pa.string()),
+                       ("page", pa.binary()), ("shape", pa.binary()),
+                       ("paths", pa.list_(pa.string()))])), _FOUND), "expressions")
+    parts = found.filter("expression IS NOT NULL").select("host", "slice", "expression")
+    salts = max(1, int(parts.select("slice").distinct().count() ** 0.5))
     schema = "host string, expression string"
-    some = (found.withColumn("salt", F.pmod(F.xxhash64("slice"), F.lit(salts)))
+    some = (parts.withColumn("salt", F.pmod(F.xxhash64("slice"), F.lit(salts)))
             .groupBy("host", "salt").applyInArrow(_merge_group, schema))
-    return stored(some.groupBy("host").applyInArrow(_merge_group, schema), "wrappers")
+    wrappers = stored(some.groupBy("host").applyInArrow(_merge_group, schema), "wrappers")
+    # Every different page of a host counts once, at each of its paths.
+    shapes = (found.filter("page IS NOT NULL").select("host", "page", "shape").distinct()
+              .groupBy("host", "shape").agg(F.count(F.lit(1)).alias("n")))
+    paths = found.filter("paths IS NOT NULL").groupBy("shape").agg(F.first("paths").alias("paths"))
+    counts = (shapes.join(paths, "shape").select("host", F.explode("paths").alias("path"), "n")
+              .groupBy("host", "path").agg(F.sum("n").alias("n")))
+    asked = wrappers.mapInArrow(_path_rows(["host", "path"]), "host string, path string")
+    known = (counts.join(asked, ["host", "path"]).groupBy("host")
+             .agg(F.collect_list(F.struct("path", "n")).alias("e"))
+             .select("host", F.col("e.path").alias("paths"), F.col("e.n").alias("ns")))
+    return stored(wrappers.join(known, "host", "left").select("host", "expression", "paths", "ns")
+                  .mapInArrow(_counted_rows(["host", "expression"]), schema), "counted")
 
 
 def _region_rows(names: list[str]):

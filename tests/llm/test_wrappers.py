@@ -61,3 +61,27 @@ def test_text_of_a_few_pages_is_not_fixed():
     text = page_text([(k, "http://h.example/x", page(k)) for k in range(40)])
     assert text[1] == "Text 1 of this page, it differs from others.\nMore 1\nthe same table"
     assert text[9] == "Text 9 of this page, it differs from others.\nMore 9"
+
+
+def test_share_of_pages_is_counted_over_all_pages(spark):
+    """Fixed text is judged by all pages of a host, not by those with the smallest checksums."""
+    def page(k, host, note):
+        return (f"<body><div><p>Text {k} of a page of {host}, it differs.</p><p>More {k}</p></div>"
+                + ("<section>Same words</section>" if note else "") + "</body>")
+
+    def pick(host, note, n, low):
+        made = sorted((page(k, host, note) for k in range(note * 1000, note * 1000 + 300)),
+                      key=lambda p: zlib.crc32(p.encode()), reverse=not low)
+        return made[:n]
+
+    # 14 of 40 pages, all of them with small checksums; 26 of 40, all with large ones.
+    rare = pick("r.example", True, 14, True) + pick("r.example", False, 26, False)
+    often = pick("o.example", True, 26, False) + pick("o.example", False, 14, True)
+    rows = [(i, "http://r.example/x", p) for i, p in enumerate(rare + rare[:14])]
+    rows += [(100 + i, "http://o.example/x", p) for i, p in enumerate(often)]
+    rows += [(200 + i, "http://o.example/x", often[-1]) for i in range(30)]  # copies count once
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    text = {r.page_id: r.text for r in wrappers.extract(pages).collect()}
+    assert text == page_text(rows)
+    assert all(("Same words" in text[i]) == (i % 40 < 14) for i in range(54))
+    assert not any("Same words" in text[i] for i in text if i >= 100)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -62,20 +64,44 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system: a worker process stays when its task ends, and
+    else keeps what its largest step took."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library than glibc
+        pass
+
+
+def cut(batch: pa.RecordBatch, column: str = "text",
+        step: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch cut into pieces of about ``step`` bytes of text (never inside a row)."""
+    if not batch.num_rows:
+        return
+    sizes = np.diff(offsets_of(batch.column(column))[0])
+    total = np.cumsum(sizes)
+    at = 0
+    while at < batch.num_rows:
+        base = total[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(total, base + step, side="right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text",
            step: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches cut into pieces of about ``step`` bytes of text (never inside a row)."""
+    """The batches of a task, each ``cut``.
+
+    Memory that the steps of a batch have freed is given back after it. Task code is pickled
+    by value, so what a worker's earlier tasks left in their modules is garbage in cycles."""
+    gc.collect()
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        sizes = np.diff(offsets_of(batch.column(column))[0])
-        total = np.cumsum(sizes)
-        at = 0
-        while at < batch.num_rows:
-            base = total[at - 1] if at else 0
-            end = max(at + 1, int(np.searchsorted(total, base + step, side="right")))
-            yield batch.slice(at, end - at)
-            at = end
+        yield from cut(batch, column, step)
+        del batch
+        give_back()
+    _POWERS.clear()
+    give_back()
 
 
 def offsets_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -124,8 +150,8 @@ _POWERS: dict[str, np.ndarray] = {}
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers (mod 2^64) of the hash base and of its inverse."""
-    if len(_POWERS.get("base", ())) < n:
-        size = max(n, STEP_BYTES + 4096)
+    if len(_POWERS.get("base", ())) < max(n, 1):
+        size = 1 << max(n - 1, 1).bit_length()
         for name, base in (("base", _BASE), ("inv", _BASE_INV)):
             steps = np.full(size, base, np.uint64)
             steps[0] = 1

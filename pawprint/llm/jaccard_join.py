@@ -43,8 +43,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pawprint.llm.common import (SPACE, need, offsets_of, partitions, shingles, slices, stored,
-                                 word_hashes)
+from pawprint.llm.common import (SPACE, cut, need, offsets_of, partitions, shingles, slices,
+                                 stored, word_hashes)
 
 WIDTH = 5
 #: A region of at most so many members is compared pair by pair.
@@ -421,7 +421,7 @@ def resolve(sets: list[np.ndarray]) -> list[int]:
 def _group_sets(texts: list[str], width: int) -> list[np.ndarray]:
     part = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
     out = []
-    for piece in slices(iter([part])):
+    for piece in cut(part):
         h, at = sets_of(piece, width)
         out += [h[a:b] for a, b in zip(at[:-1], at[1:])]
     return out

@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 from pawprint.llm.common import need, offsets_of, slices, stored
 from pawprint.llm.tokens import default_vocabulary, encoder
 
+#: Bytes of text encoded at once.
+STEP = 1 << 19
 #: Pieces that one exchange group packs (about 50 bytes each).
 GROUP_PIECES = 50_000
 #: A sequence whose free share is larger gives up its pieces first.
@@ -101,7 +103,7 @@ def best_fit_decreasing(sizes: np.ndarray, capacity: int):
 
 def _cut_rows(vocabulary: str, capacity: int, end_id: int, names: list[str]):
     def run(batches):
-        for part in slices(batches):
+        for part in slices(batches, step=STEP):
             offs, data = offsets_of(part.column("text"))
             ids, rows = encoder(vocabulary).encode_rows(offs, data)
             ids = np.insert(ids, rows[1:], np.uint32(end_id)).astype("<u4")

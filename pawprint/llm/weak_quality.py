@@ -25,7 +25,7 @@ from pawprint.llm.common import SPACE, need, offsets_of, shingles, slices, word_
 
 TRAIN_DOCS = 6_000
 #: Bytes of text judged at once: about 150 bytes of memory for each.
-STEP = 1 << 20
+STEP = 1 << 18
 #: Documents whose score (probability of good) is below this are rejected.
 THRESHOLD = 0.5
 NONE, BAD, GOOD = 0, 1, 2
